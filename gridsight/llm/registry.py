@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import quality_classifier, quality_rules, simhash
 
 QUERIES = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op7_simhash": simhash.op7_simhash,
+    "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
 
 ORACLES = {
