@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import quality_classifier, quality_rules, simhash
+from . import bpe_tree, packing, quality_classifier, quality_rules, simhash, token_counts
 
 QUERIES = {
+    "op2_bpe_tree": bpe_tree.op2_bpe_tree,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_packing": packing.op5_packing,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_simhash": simhash.op7_simhash,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
