@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe_tree, packing, quality_classifier, quality_rules, simhash, token_counts
+from . import bpe_tree, media, packing, quality_classifier, quality_rules, simhash, token_counts
 
 QUERIES = {
     "op2_bpe_tree": bpe_tree.op2_bpe_tree,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_packing": packing.op5_packing,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_simhash": simhash.op7_simhash,
+    "op9_media": media.op9_media,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
 
