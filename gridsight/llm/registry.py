@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe_tree, media, packing, quality_classifier, quality_rules, simhash, token_counts, url_filter
+from . import bpe_tree, media, packing, quality_classifier, quality_rules, simhash, token_counts, toxicity, url_filter
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_bpe_tree": bpe_tree.op2_bpe_tree,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_packing": packing.op5_packing,
