@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe_tree, media, packing, quality_classifier, quality_rules, simhash, token_counts, toxicity, url_filter
+from . import bpe_tree, chat, media, packing, quality_classifier, quality_rules, simhash, token_counts, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_bpe_tree": bpe_tree.op2_bpe_tree,
+    "op3_chat": chat.op3_chat,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_packing": packing.op5_packing,
     "op6_token_counts": token_counts.op6_token_counts,
