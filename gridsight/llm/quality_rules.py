@@ -185,7 +185,9 @@ def judge(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
     )
     s = F.col("s")
     failed = (s["n_words"] < 20) | (100 * s["n_repeat_words"] > 30 * s["n_words"])
-    joined = stored.join(_fences(stored, min_rows), F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
+    # A stored table has a known size, so a small one is broadcast before any text is shuffled.
+    fences = scratch.table(_fences(stored, min_rows), "fences")
+    joined = stored.join(fences, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
     inside = F.lit(True)
     for name, value in rates(s).items():
         inside = inside & (value <= F.col("fence")[name])
