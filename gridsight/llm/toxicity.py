@@ -19,7 +19,6 @@ rows are scored alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from .gru import MOST_GRAMS, Adam, Network, grams, normal, sigmoid
 
 #: Bounds of the training sample: labelled rows, and characters of a text that may be in it.
-MAX_TRAINING_ROWS, MAX_TRAINING_CHARACTERS = 5000, 20_000
+MAX_TRAINING_ROWS, MAX_TRAINING_CHARACTERS = 4000, 20_000
 FOLDS, HELD_OUT = 3, 1
 WINDOW, STEP = 32, 24
 DIM, HIDDEN = 8, 8
@@ -127,26 +126,22 @@ class Scorer:
         return sigmoid(self.evidence(texts) @ weights[:-1] + weights[-1])
 
 
-def _vocabulary(texts: list[set[str]], y: np.ndarray) -> tuple[dict[str, int], dict[str, int]]:
-    """Words and character grams that tell the classes of texts apart, by the log-likelihood ratio."""
+def _telling(held: list[np.ndarray], names: list[str], y: np.ndarray, most: int) -> dict[str, int]:
+    """Names that tell the classes of texts apart, by the log-likelihood ratio; ``held`` has the distinct names of each text by number."""
+    counts = np.zeros((2, len(names)))
+    for found, label in zip(held, y.astype(int).tolist(), strict=True):
+        counts[label][found] += 1
+    b, a = counts
+    ones, zeros = y.sum(), len(y) - y.sum()
+    share = (a + b) / len(y)
 
-    def telling(sets: list[set[str]], most: int) -> dict[str, int]:
-        with_one, with_zero = Counter(), Counter()
-        for found, label in zip(sets, y, strict=True):
-            (with_one if label else with_zero).update(found)
-        ones, zeros = y.sum(), len(y) - y.sum()
-        names = sorted(x for x in with_one.keys() | with_zero.keys() if with_one[x] + with_zero[x] >= LEAST_TEXTS)
-        a, b = (np.array([c[x] for x in names], float) for c in (with_one, with_zero))
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
 
-        def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
-            return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
-
-        share = (a + b) / len(y)
-        ratio = 2 * (part(a, share * ones) + part(b, share * zeros) + part(ones - a, (1 - share) * ones) + part(zeros - b, (1 - share) * zeros))
-        best = sorted(np.flatnonzero(ratio >= LEAST_RATIO).tolist(), key=lambda k: (-ratio[k], names[k]))[:most]
-        return {names[k]: i + 1 for i, k in enumerate(best)}
-
-    return telling(texts, MOST_WORDS), telling([{g for w in x for g in grams(w)} for x in texts], MOST_PIECES)
+    ratio = 2 * (part(a, share * ones) + part(b, share * zeros) + part(ones - a, (1 - share) * ones) + part(zeros - b, (1 - share) * zeros))
+    some = np.flatnonzero((ratio >= LEAST_RATIO) & (a + b >= LEAST_TEXTS)).tolist()
+    best = sorted(some, key=lambda k: (-ratio[k], names[k]))[:most]
+    return {names[k]: i + 1 for i, k in enumerate(best)}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 0.5) -> tuple[float, ...]:
@@ -169,25 +164,38 @@ def fit(texts: list[str | None], labels: list[int], *, seed: int = 7, epochs: tu
         flat.scale = (0.0, 0.0, float(np.log((ones + 1) / (len(y_text) - ones + 1))))
         return flat
     draw = np.random.default_rng(seed)
-    windows, owner, per_text = [], [], [set() for _ in texts]
+    # Words and grams are numbers from here on: what the driver holds is a few arrays, not texts of pieces.
+    row: dict[str, int] = {}
+    windows, owner, per_text = [], [], []
     for k, text in enumerate(texts):
-        words = [normal(w) for w in split(text)]
-        for s in sorted(draw.permutation(starts(len(words)))[:WINDOWS].tolist()):
-            windows.append(words[s : s + WINDOW])
-            owner.append(k)
-            per_text[k].update(windows[-1])
-    network = Network.fresh(*_vocabulary(per_text, y_text), dim=DIM, hidden=HIDDEN, seed=seed)
-    kinds = sorted({w for x in windows for w in x})
+        words = np.array([row.setdefault(normal(w), len(row)) for w in split(text)], np.int32)
+        begins = sorted(draw.permutation(starts(len(words)))[:WINDOWS].tolist())
+        windows += [words[s : s + WINDOW] for s in begins]
+        owner += [k] * len(begins)
+        per_text.append(np.unique(np.concatenate(windows[-len(begins) :])))
+    kinds = list(row)
+    gram_row: dict[str, int] = {}
+    gram_of = np.full((len(kinds), MOST_GRAMS), -1, np.int32)
+    for k, w in enumerate(kinds):
+        found = [gram_row.setdefault(g, len(gram_row)) for g in grams(w)]
+        gram_of[k, : len(found)] = found
+    of_texts = [x[x >= 0] for x in (np.unique(gram_of[held]) for held in per_text)]
+    words_told = _telling(per_text, kinds, y_text, MOST_WORDS)
+    network = Network.fresh(words_told, _telling(of_texts, list(gram_row), y_text, MOST_PIECES), dim=DIM, hidden=HIDDEN, seed=seed)
+    del gram_row, gram_of, of_texts, row
+    # Row 0 is a word without any known part.
     ids, rows = network.features(kinds)
     named = ids.astype(bool) | rows.any(1)
-    row = {w: k for k, w in enumerate(kinds)}
+    place = np.where(named, np.cumsum(named), 0)
+    ids, rows = np.r_[0, ids[named]], np.concatenate([np.zeros((1, MOST_GRAMS), np.int64), rows[named]])
     at = np.zeros((len(windows), WINDOW), np.int64)
     size = np.array([len(x) for x in windows])
     for k, x in enumerate(windows):
-        at[k, : len(x)] = [row[w] for w in x]
+        at[k, : len(x)] = place[x]
+    del windows, kinds
     # Windows without a known part are alike; a text keeps one of them, and only if it has no other.
     owner = np.array(owner)
-    live = (named[at] & (np.arange(WINDOW) < size[:, None])).any(1)
+    live = at.any(1)
     _, first = np.unique(owner, return_index=True)
     has = np.zeros(len(texts), bool)
     has[owner[live]] = True
