@@ -65,11 +65,9 @@ class Codec:
         self.memo = Memo(lambda parts: [packed(one(" " + p)) for p in parts])
 
     def _segment(self, text: str, first: bool) -> tuple[list[str], list[bytes]]:
-        """Pieces of a stretch and their ids; ``first`` tells whether a blank stands before it."""
-        parts = self.memo.cut(text)
-        if not first:
-            return parts, self.memo.of(parts)
-        return parts, [packed(self.encoding.encode_ordinary(parts[0])), *self.memo.of(parts[1:])]
+        """Pieces of a stretch and their ids; ``first`` tells that no blank stands before it."""
+        parts, ids = self.memo.of(text)
+        return parts, [packed(self.encoding.encode_ordinary(parts[0] if first else " " + parts[0])), *ids]
 
     def _join(self, a: tuple[list[str], list[bytes]], b: tuple[list[str], list[bytes]]) -> tuple[list[str], list[bytes]]:
         first = len(a[0]) == 1

@@ -11,72 +11,62 @@ looked up again.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 #: Entries of a memo, those it keeps when it is full (the first met, so the frequent ones), and the longest piece it holds, in characters.
-MEMO_ENTRIES, MEMO_KEPT, MEMO_LENGTH = 400_000, 200_000, 64
+MEMO_ENTRIES, MEMO_KEPT, MEMO_LENGTH = 1_000_000, 500_000, 64
 
 
 def _open(part: str) -> bool:
     return not part or part[0].isspace() or part[-1].isspace() or "▁" in part
 
 
-def cut(text: str, known: dict | None = None) -> list[str]:
-    """Pieces whose concatenation with single blanks is ``text``.
-
-    Every piece in ``known`` begins and ends with a character that is not blank, so
-    only the others are looked at.
-    """
-    parts = text.split(" ")
-    new = set(parts[1:-1]).difference(known) if known is not None else parts[1:-1]
-    if _open(parts[0]) or _open(parts[-1]) or any(map(_open, new)):
-        return CUT.split(text)
-    return parts
-
-
 class Memo:
     """Encodings of pieces; ``encode`` gets a list of pieces that are not known yet.
+
+    Pieces in ``known`` begin and end with a character that is not blank, so a text
+    cut at every blank is cut safely if its other pieces do, too.
     """
 
     def __init__(self, encode: Callable[[list[str]], Iterable], *, batch_bytes: int = 1 << 18):
         self.encode, self.known, self.batch_bytes = encode, {}, batch_bytes
 
-    def cut(self, text: str) -> list[str]:
-        return cut(text, self.known)
-
-    def learn(self, parts: Iterable[str]) -> dict:
-        """Encodings of new pieces, made in batches of about ``batch_bytes``; what may not be kept is returned."""
-        if len(self.known) > MEMO_ENTRIES:
-            self.known = dict(islice(self.known.items(), MEMO_KEPT))
-        extra: dict = {}
+    def _batches(self, parts: Iterable[str]) -> Iterator[tuple[list[str], list]]:
+        """Pieces and their encodings, made in batches of about ``batch_bytes``."""
         batch: list[str] = []
         size = 0
-
-        def flush() -> None:
-            for part, value in zip(batch, self.encode(batch), strict=True):
-                (extra if len(part) > MEMO_LENGTH or _open(part) else self.known)[part] = value
-            batch.clear()
-
         for part in parts:
             batch.append(part)
             size += 4 * len(part)
             if size >= self.batch_bytes:
-                flush()
-                size = 0
+                yield batch, list(self.encode(batch))
+                batch, size = [], 0
         if batch:
-            flush()
-        return extra
+            yield batch, list(self.encode(batch))
 
-    def of(self, parts: list[str]) -> list:
-        """Encodings of ``parts``, learning those not seen before."""
-        new = set(parts).difference(self.known)
-        if not new:
-            return list(map(self.known.__getitem__, parts))
-        extra = self.learn(new)
+    def of(self, text: str) -> tuple[list[str], list]:
+        """The pieces of a text, and the encodings of all but the first, each as a piece that follows a blank."""
+        if len(self.known) > MEMO_ENTRIES:
+            self.known = dict(islice(self.known.items(), MEMO_KEPT))
+        parts = text.split(" ")
         known = self.known
-        missing = [p for p in set(parts) if p not in known and p not in extra]
-        if missing:  # the memo was cut back just now
-            extra |= self.learn(missing)
-        return [known[p] if p in known else extra[p] for p in parts]
+        new = set(parts[1:]).difference(known)
+        extra: dict = {}
+        if _open(parts[0]) or any(map(_open, new)):
+            # Only the first and the last piece of a safe cut can begin or end with a blank.
+            parts = CUT.split(text)
+            new = set(parts[1:]).difference(known)
+            if len(parts) > 1 and _open(parts[-1]):
+                new.discard(parts[-1])
+                extra[parts[-1]] = next(self._batches([parts[-1]]))[1][0]
+        for batch, values in self._batches(new):
+            if max(map(len, batch)) <= MEMO_LENGTH:
+                known.update(zip(batch, values, strict=True))
+            else:
+                for part, value in zip(batch, values, strict=True):
+                    (extra if len(part) > MEMO_LENGTH else known)[part] = value
+        if not extra:
+            return parts, list(map(known.__getitem__, parts[1:]))
+        return parts, [known[p] if p in known else extra[p] for p in parts[1:]]

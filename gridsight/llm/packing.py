@@ -45,6 +45,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.fence = self.tokenizer.token_to_id(FENCE)
         self.memo = Memo(self._pieces)
+        self._first = lru_cache(50_000)(lambda part: packed(self._ids(part)))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -63,8 +64,8 @@ class Encoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        parts = self.memo.cut(text)
-        return b"".join([packed(self._ids(parts[0])), *self.memo.of(parts[1:])])
+        parts, ids = self.memo.of(text)
+        return b"".join([self._first(parts[0]), *ids])
 
 
 @lru_cache(2)

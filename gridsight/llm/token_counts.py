@@ -40,7 +40,7 @@ class Counter:
         """Token counts of whole texts."""
         if not self.safe:
             return [len(self._model.encode(x)) for x in texts]
-        return [sum(self.memo.of(self.memo.cut(x))) if x else 0 for x in texts]
+        return [len(self._model.encode(parts[0])) + sum(rest) for parts, rest in map(self.memo.of, texts)]
 
 
 @lru_cache(2)
