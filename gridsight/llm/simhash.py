@@ -77,13 +77,17 @@ def _embedding(fp: Column, half: int) -> Column:
 
 def _cells(frame: DataFrame, *, steps: bool) -> DataFrame:
     """Rows of ``frame (fp, ...)`` by cell; ``step``: 0 in its own cell, 1 one step up (``steps`` only)."""
+
+    def entry(half: int, step: int):
+        return lambda cell: F.struct(F.lit(half).alias("half"), cell.alias("cell"), F.lit(step).alias("step"))
+
     entries = []
     for half in (0, 1):
         own = _embedding(F.col("fp"), half)
-        entries.append(F.array(F.struct(F.lit(half).alias("half"), own.alias("cell"), F.lit(0).alias("step"))))
+        entries.append(F.array(entry(half, 0)(own)))
         if steps:
             axes = [F.when(F.shiftright(own, 2 * i).bitwiseAND(F.lit(3)) < 2, own + F.lit(1 << (2 * i))) for i in range(16)]
-            entries.append(F.transform(F.array_compact(F.array(*axes)), lambda c, h=half: F.struct(F.lit(h).alias("half"), c.alias("cell"), F.lit(1).alias("step"))))
+            entries.append(F.transform(F.array_compact(F.array(*axes)), entry(half, 1)))
     return frame.withColumn("_e", F.explode(F.concat(*entries))).select(*frame.columns, "_e.half", "_e.cell", "_e.step")
 
 
