@@ -81,6 +81,13 @@ def to_png(payload: bytes) -> bytes:
 
 def from_png(image: bytes) -> bytes:
     """The samples of an image made by ``to_png``; any damage is an error."""
+    try:
+        return _samples(image)
+    except (struct.error, zlib.error) as error:
+        raise ValueError("damaged PNG") from error
+
+
+def _samples(image: bytes) -> bytes:
     if image[:8] != PNG_SIGNATURE:
         raise ValueError("not a PNG")
     at, data, height = 8, [], 0
