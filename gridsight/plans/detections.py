@@ -104,13 +104,13 @@ _IN_PART = f"{CX} > min_e AND {CX} < max_e AND {CY} > min_n AND {CY} < max_n AND
 @query(f"SELECT DISTINCT det_id FROM fx_detection JOIN fx_region_part ON {_IN_PART}", "fx_detection", "fx_region_part")
 def region_clip(t):
     """Detections whose centre is strictly inside some part of the region."""
-    return spatial.held_by_any(t.boxes(), t.parts(), "det_id")
+    return spatial.held_by_any(t.stored_boxes(), t.parts(), "det_id")
 
 
 @query(f"SELECT det_id, part_id FROM fx_detection JOIN fx_region_part ON {CX} BETWEEN min_e AND max_e AND {CY} BETWEEN min_n AND max_n", "fx_detection", "fx_region_part")
 def cell_envelope_filter(t):
     """Centres in closed envelopes."""
-    pairs = spatial.point_candidates(t.boxes().select("det_id", "cx", "cy"), t.rectangles("fx_region_part"), size=500.0)
+    pairs = spatial.point_candidates(t.stored_boxes().select("det_id", "cx", "cy"), t.rectangles("fx_region_part"), size=500.0)
     return pairs.select("det_id", "part_id")
 
 
@@ -127,7 +127,7 @@ def grid_cells_over_region(t):
 
 @query(f"SELECT det_id, district FROM fx_detection LEFT JOIN (SELECT det_id, arg_min(district, part_id) AS district FROM fx_detection JOIN fx_region_part ON {_IN_PART} GROUP BY det_id) USING (det_id)", "fx_detection", "fx_region_part")
 def district_join(t):
-    return spatial.attach_area(t.boxes(), t.parts(), "det_id", "part_id", "district").select("det_id", "district")
+    return spatial.attach_area(t.stored_boxes(), t.parts(), "det_id", "part_id", "district").select("det_id", "district")
 
 
 _GAP = f"sqrt(pow(greatest(0, min_e - {CX}, {CX} - max_e), 2) + pow(greatest(0, min_n - {CY}, {CY} - max_n), 2))"
@@ -136,7 +136,7 @@ _NEAREST = f"SELECT det_id, arg_min(kadun_nimi, (d, street_id)) AS kadun_nimi, a
 
 @query(f"SELECT det_id, kadun_nimi, kayttotarkoitus FROM fx_detection LEFT JOIN ({_NEAREST}) USING (det_id)", "fx_detection", "fx_street")
 def nearest_street(t):
-    found = spatial.attach_nearest(t.boxes(), t.rectangles("fx_street"), "det_id", "street_id", "kadun_nimi", "kayttotarkoitus", within=2.0)
+    found = spatial.attach_nearest(t.stored_boxes(), t.rectangles("fx_street"), "det_id", "street_id", "kadun_nimi", "kayttotarkoitus", within=2.0)
     return found.select("det_id", "kadun_nimi", "kayttotarkoitus")
 
 
@@ -153,7 +153,7 @@ _TOUCHES = " AND ".join(_axis(*a) for a in (("1", "0"), ("0", "1"), ("x1 - x0",
 @query(f"SELECT DISTINCT det_id FROM fx_detection JOIN fx_parking ON {_TOUCHES}", "fx_detection", "fx_parking")
 def parking_overlap(t):
     """Boxes that share a point with a parking area."""
-    return spatial.touched_by_any(t.boxes(), t.rectangles("fx_parking"), "det_id")
+    return spatial.touched_by_any(t.stored_boxes(), t.rectangles("fx_parking"), "det_id")
 
 
 _IN_BOX = f"{CX} > min_e AND {CX} < max_e AND {CY} > min_n AND {CY} < max_n"
@@ -170,14 +170,14 @@ def _layers(t):
 @query(_CONTEXT, "fx_detection", "fx_region_part", "fx_street", "fx_parking")
 def context_classifier(t):
     _, streets, parking, named = _layers(t)
-    return enrichment.attach_context(t.boxes(), parking, streets, named).select("det_id", "context", "street_part")
+    return enrichment.attach_context(t.stored_boxes(), parking, streets, named).select("det_id", "context", "street_part")
 
 
 @query(f"SELECT det_id, district, kadun_nimi, kayttotarkoitus, context, street_part FROM ({_CONTEXT}) LEFT JOIN (SELECT det_id, arg_min(district, part_id) AS district FROM fx_detection JOIN fx_region_part ON {_IN_PART} GROUP BY det_id) USING (det_id) LEFT JOIN ({_NEAREST}) USING (det_id)", "fx_detection", "fx_region_part", "fx_street", "fx_parking")
 def enrich(t):
     """Detections with all of their area attributes."""
     districts, streets, parking, named = _layers(t)
-    return enrichment.enrich(t.boxes(), districts, streets, parking, named).select("det_id", "district", "kadun_nimi", "kayttotarkoitus", "context", "street_part")
+    return enrichment.enrich(t.stored_boxes(), districts, streets, parking, named).select("det_id", "district", "kadun_nimi", "kayttotarkoitus", "context", "street_part")
 
 
 def overlap_sql(a: str, b: str, where: str) -> str:
@@ -225,24 +225,24 @@ def _ids(frame):
 @query(f"WITH {_EDGES} SELECT high, low FROM edges", "fx_detection")
 def nms_pairs(t):
     """Overlapping boxes, the one of higher priority first."""
-    return nms.overlaps(_ids(t.boxes()))
+    return nms.overlaps(_ids(t.stored_boxes()))
 
 
 @query(f"WITH {_EDGES}, {_suppressed_sql()} SELECT det_id, label FROM fx_detection WHERE det_id NOT IN (SELECT id FROM lost)", "fx_detection")
 def nms_merged(t):
     """Greedy suppression over the whole table."""
-    return nms.merge(_ids(t.boxes())).select(F.col("id").alias("det_id"), "label")
+    return nms.merge(_ids(t.stored_boxes())).select(F.col("id").alias("det_id"), "label")
 
 
 @query(f"WITH {_EDGES}, {_suppressed_sql()} SELECT count(*) AS removed FROM fx_detection WHERE det_id IN (SELECT id FROM lost)", "fx_detection")
 def nms_removed_count(t):
-    return nms.suppressed(nms.overlaps(_ids(t.boxes()))).agg(F.count(F.lit(1)).alias("removed"))
+    return nms.suppressed(nms.overlaps(_ids(t.stored_boxes()))).agg(F.count(F.lit(1)).alias("removed"))
 
 
 @query(f"WITH {_EDGES}, {_suppressed_sql()} SELECT det_id FROM fx_detection WHERE det_id NOT IN (SELECT id FROM lost) AND {LENGTH} >= 4", "fx_detection")
 def sweep_merged(t):
     """Suppression before the length gate: a short confident box may remove a longer one."""
-    return nms.merge(_ids(t.boxes())).filter(G.length_m() >= 4).select(F.col("id").alias("det_id"))
+    return nms.merge(_ids(t.stored_boxes())).filter(G.length_m() >= 4).select(F.col("id").alias("det_id"))
 
 
 @query(f"""WITH found AS (SELECT * FROM fx_detection WHERE det_id % 2 = 0), truth AS (SELECT * FROM fx_label WHERE det_id % 3 = 0 AND status IN ('confirmed', 'added')),
@@ -250,7 +250,7 @@ def sweep_merged(t):
 def unexplained_detections(t):
     """Found boxes that no verified label explains."""
     labels = t("fx_label").filter(F.col("det_id") % 3 == 0)
-    return evaluate.unexplained(_ids(t.boxes().filter(F.col("det_id") % 2 == 0)), _ids(labels)).select(F.col("id").alias("det_id"))
+    return evaluate.unexplained(_ids(t.stored_boxes().filter(F.col("det_id") % 2 == 0)), _ids(labels)).select(F.col("id").alias("det_id"))
 
 
 def _series(name: str, terms: tuple[float, ...], f: str, g: str, xi: str, eta: str) -> str:

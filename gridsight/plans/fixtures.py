@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridsight.functions import geometry as G
 from gridsight.operators.spatial import with_polygon
+from gridsight.staging import staged
 
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "fx_detection": (
@@ -86,6 +87,10 @@ class Tables:
         cx, cy = G.centre()
         return self("fx_detection").withColumns({"cx": cx, "cy": cy})
 
+    def stored_boxes(self) -> DataFrame:
+        """``boxes`` as a table, as detections are in use; joins would work out the view's arithmetic for every condition."""
+        return staged(self.boxes(), "boxes")
+
 
 def ctes(*names: str) -> list[str]:
     """DuckDB definitions of views and of what they need, in order."""
