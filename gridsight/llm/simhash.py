@@ -105,9 +105,10 @@ def _crowd_edges(points: DataFrame, crowded: int) -> DataFrame:
 def _grid_edges(points: DataFrame) -> DataFrame:
     """Class pairs with a link between fingerprints of ``points (fp, class)`` that share a grid cell."""
     entries = _cells(points, steps=True)
-    sizes = entries.groupBy("half", "cell", "class").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("half", "cell").agg(F.max(F.struct("n", "class")).alias("top"), F.count(F.lit(1)).alias("classes"))
-    mixed = mixed.filter("classes > 1").select("half", "cell", F.col("top.class").alias("major"))
+    sizes = entries.groupBy("half", "cell", "class").agg(F.count(F.lit(1)).alias("n"), F.min("step").alias("step"))
+    mixed = sizes.groupBy("half", "cell").agg(F.max(F.struct("n", "class")).alias("top"), F.count(F.lit(1)).alias("classes"), F.min("step").alias("step"))
+    # Where all are a step away, nobody is at home, and no pair can meet.
+    mixed = mixed.filter("classes > 1 AND step = 0").select("half", "cell", F.col("top.class").alias("major"))
     met = scratch.table(entries.join(mixed, ["half", "cell"]), "cells")
     one, other = met.filter("class <> major").alias("x"), met.alias("y")
     near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= BITS
