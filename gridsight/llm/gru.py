@@ -7,24 +7,45 @@ states give one logit per window.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
 
 GRAMS = (4, 6)
-MOST_GRAMS = 16
+#: Longer tokens are cut into several words by ``pieces``; each run of letters then shares eight characters with the next.
+LONGEST, STRIDE = 24, 16
+#: Grams of the longest word with its frame.
+MOST_GRAMS = sum(LONGEST + 3 - n for n in GRAMS)
 STRIP = ".,;:!?\"'()[]{}|#$%&*<>-_"
+#: Stands where a run goes on in another word; a blank, so no token has it.
+GOES_ON = "\x1f"
+_MARKS = "".join(c for c in map(chr, range(0x300, 0x20000)) if unicodedata.category(c)[0] == "M")
+_JOINTS = re.compile(f"((?:[^\\w{_MARKS}]|_)+)")
+
+
+def pieces(token: str) -> list[str]:
+    """The words of a token over ``LONGEST``: its parts between signs and the signs that are not punctuation, in overlapping runs where they are long."""
+    found = []
+    for part in filter(lambda x: x.strip(STRIP), _JOINTS.split(token)):
+        if len(part) <= LONGEST:
+            found.append(part)
+            continue
+        for i in range(0, len(part) - (LONGEST - STRIDE), STRIDE):
+            found.append((GOES_ON if i else "") + part[i : i + LONGEST] + (GOES_ON if i + LONGEST < len(part) else ""))
+    return found or [""]
 
 
 def normal(word: str) -> str:
-    """A lower-case word without punctuation around it; very long ones keep their ends."""
-    word = word.strip(STRIP)
-    return word if len(word) <= 24 else word[:12] + word[-12:]
+    """A word without punctuation around it."""
+    return word.strip(STRIP)
 
 
 def grams(word: str) -> list[str]:
-    framed = f"^{word}$"
-    return [framed[i : i + n] for n in GRAMS for i in range(len(framed) - n + 1)][:MOST_GRAMS]
+    """All grams of a word between ``^`` and ``$``, which stand only where it begins and ends."""
+    framed = f"^{word}$".replace(f"^{GOES_ON}", "").replace(f"{GOES_ON}$", "")
+    return [framed[i : i + n] for n in GRAMS for i in range(len(framed) - n + 1)]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -57,9 +78,9 @@ class Network:
     def features(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Word rows, and character-gram rows padded with 0, of normalised words."""
         ids = np.array([self.words.get(w, 0) for w in words], np.int64)
-        rows = np.zeros((len(words), MOST_GRAMS), np.int64)
-        for k, w in enumerate(words):
-            found = [self.pieces[g] for g in grams(w) if g in self.pieces]
+        known = [[self.pieces[g] for g in grams(w) if g in self.pieces] for w in words]
+        rows = np.zeros((len(words), max(map(len, known), default=0)), np.int64)
+        for k, found in enumerate(known):
             rows[k, : len(found)] = found
         return ids, rows
 

@@ -2,7 +2,10 @@
 
 A text's words are cut into windows of 32 that overlap by eight. A bidirectional
 gated recurrent network with attention pooling (``gru``) gives each window a
-logit from word and character inputs; the text's score is a logistic function of
+logit from word and character inputs. A token of over 24 characters is several
+words: it is cut at its signs, and what is still longer into runs of 24 characters
+that overlap by eight, so texts without blanks are read to their end; all grams of 4
+and 6 characters of a word count. The text's score is a logistic function of
 its largest logit and of the share of its windows that are toxic by themselves. The network is trained in numpy on a bounded labelled sample:
 first every window of a toxic text counts as toxic, then only those the network
 itself finds so, against the windows of clean texts it finds worst.
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .gru import MOST_GRAMS, Adam, Network, grams, normal, sigmoid
+from .gru import LONGEST, MOST_GRAMS, Adam, Network, grams, normal, pieces, sigmoid
 
 #: Bounds of the training sample: labelled rows, and characters of a text that may be in it.
 MAX_TRAINING_ROWS, MAX_TRAINING_CHARACTERS = 4000, 20_000
@@ -51,7 +54,11 @@ def starts(words: int) -> list[int]:
 
 
 def split(text: str | None) -> list[str]:
-    return (text or "").lower().split() or [""]
+    """Words of a text: its tokens between blanks, and the pieces of those over ``LONGEST`` characters."""
+    found = (text or "").lower().split()
+    if any(len(x) > LONGEST for x in found):
+        found = [w for x in found for w in (pieces(x) if len(x) > LONGEST else (x,))]
+    return found or [""]
 
 
 class Scorer:
@@ -187,7 +194,7 @@ def fit(texts: list[str | None], labels: list[int], *, seed: int = 7, epochs: tu
     ids, rows = network.features(kinds)
     named = ids.astype(bool) | rows.any(1)
     place = np.where(named, np.cumsum(named), 0)
-    ids, rows = np.r_[0, ids[named]], np.concatenate([np.zeros((1, MOST_GRAMS), np.int64), rows[named]])
+    ids, rows = np.r_[0, ids[named]], np.concatenate([np.zeros((1, rows.shape[1]), np.int64), rows[named]])
     at = np.zeros((len(windows), WINDOW), np.int64)
     size = np.array([len(x) for x in windows])
     for k, x in enumerate(windows):
@@ -211,12 +218,12 @@ def fit(texts: list[str | None], labels: list[int], *, seed: int = 7, epochs: tu
             used, local = np.unique(at[part], return_inverse=True)
             grad, dx = network.gradients(network.inputs(ids[used], rows[used]), local.reshape(len(part), WINDOW), size[part], y[part], np.ones(len(part)))
             word, at_word = np.unique(ids[used], return_inverse=True)
-            piece, at_piece = np.unique(rows[used], return_inverse=True)
+            held = rows[used]
+            piece, at_piece = np.unique(held[held > 0], return_inverse=True)
             grad["word"], grad["piece"] = np.zeros((len(word), DIM), np.float32), np.zeros((len(piece), DIM), np.float32)
             np.add.at(grad["word"], at_word, dx[:, :DIM])
-            np.add.at(grad["piece"], at_piece.ravel(), np.repeat(dx[:, DIM:] / 4, MOST_GRAMS, axis=0))
+            np.add.at(grad["piece"], at_piece, (dx[:, DIM:] / 4)[np.nonzero(held)[0]])
             grad["word"][word == 0] = 0
-            grad["piece"][piece == 0] = 0
             adam.step(grad, {"word": word, "piece": piece})
 
     def worst(score: np.ndarray, most: int) -> np.ndarray:

@@ -72,6 +72,31 @@ def test_toxicity_learns_and_ignores_its_batch():
     assert scorer.score([prose(7, 100_000) + " vermin rotten " * 30])[0] > 0 and 0 <= scorer.score([long, None, "", " \n"])[1] <= 1
 
 
+@pytest.mark.parametrize("letters", ["abc", "ab_/c", "".join(map(chr, range(0x4E00, 0x4E40))), "กิ่งนี้"])
+def test_long_tokens_are_read_whole(letters):
+    draw = random.Random(6)
+    for n in [*range(1, 90), 1000]:
+        token = "".join(draw.choices(letters, k=n))
+        words = toxicity.split(token)
+        held = {g for w in words for g in gru.grams(gru.normal(w))}
+        framed = f"^{token}$"
+        for i, m in itertools.product(range(n + 2), gru.GRAMS):
+            gram = framed[i : i + m]
+            assert len(gram) < m or gram in held or set(gram) & set("_/"), (token, gram)
+        assert max(len(gru.grams(gru.normal(w))) for w in words) <= gru.MOST_GRAMS
+        assert set(token) - set("_/") <= set("".join(words))
+
+
+def test_toxicity_without_blanks():
+    texts, labels = _toxic_corpus()
+    scorer = toxicity.Scorer(toxicity.fit(texts[:200], labels[:200]))
+    for joint in ("_", "/", "-", ".", "_/_"):
+        clean, toxic = prose(8, 40).split(), prose(8, 40).split()
+        toxic[20:20] = ["vile", "rotten", "vermin"]
+        got = scorer.score([joint.join(clean), joint.join(toxic)])
+        assert got[0] < 0.7 <= got[1], (joint, got)
+
+
 def test_toxicity_edges(spark):
     network = toxicity.train(empty(spark), spark.createDataFrame([], "doc_id long, toxic int"))
     got = toxicity.score(hard(spark), network).collect()
