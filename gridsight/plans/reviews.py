@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridsight.functions import geometry as G
+from gridsight.functions import grid
 from gridsight.operators import evaluate, labels, manifest, mining
 from gridsight.plans.registry import CX, CY, LENGTH, nearest, query
 
@@ -98,9 +99,17 @@ sig AS (SELECT col, row, m.name, coalesce(n, 0) AS n, coalesce(n_near, 0) AS n_n
 strat AS (SELECT *, CASE WHEN n = 0 THEN 'quiet' WHEN n_near > 0 THEN 'near_threshold' WHEN n_size > 0 THEN 'size_boundary' WHEN n >= 5 THEN 'dense' ELSE 'quiet' END AS stratum FROM sig)"""
 
 
-def _mining_cells(t):
+def _mining_boxes(t):
     boxes = t.boxes().withColumn("length_m", G.length_m()).withColumn("col", F.floor(F.col("cx") / 300).cast("long")).withColumn("row", F.floor(F.col("cy") / 300).cast("long"))
-    boxes = boxes.withColumn("name", F.concat(F.lit("mine-"), F.col("col").cast("string"), F.lit("-"), F.col("row").cast("string")))
+    return boxes.withColumn("name", _mining_name())
+
+
+def _mining_name():
+    return F.concat(F.lit("mine-"), F.col("col").cast("string"), F.lit("-"), F.col("row").cast("string"))
+
+
+def _mining_cells(t):
+    boxes = _mining_boxes(t)
     cells = boxes.select("name", "col", "row").distinct()
     return mining.signals(cells, boxes.filter(F.col("det_id") % 3 != 0), "name", operating=_OPERATING)
 
@@ -115,15 +124,23 @@ def strata(t):
     return _mining_cells(t).withColumn("stratum", mining.stratum()).groupBy("stratum").agg(F.count(F.lit(1)).alias("cells"))
 
 
-def _ranked(t):
+def _whole_cells(t):
+    """Signals of all detections in their cells and in those of the parts, where quiet cells are."""
+    boxes = _mining_boxes(t)
+    parts = grid.cells(t("fx_region_part"), 300.0).select(F.col("cell_col").alias("col"), F.col("cell_row").alias("row"))
+    cells = boxes.select("col", "row").union(parts).distinct().select(_mining_name().alias("name"), "col", "row")
+    return mining.signals(cells, boxes, "name", operating=_OPERATING)
+
+
+def _ranked(cells):
     # Means are rounded, so that places do not hang on the order in which doubles are summed.
-    cells = _mining_cells(t).withColumn("coverage", (F.col("col") % 10) / 10).withColumn("mean_confidence", G.scaled(F.col("mean_confidence"), 10000))
+    cells = cells.withColumn("coverage", (F.col("col") % 10) / 10).withColumn("mean_confidence", G.scaled(F.col("mean_confidence"), 10000))
     return mining.ranked(cells)
 
 
 @query(f"""WITH {_CELLS} SELECT name, stratum, row_number() OVER (PARTITION BY stratum ORDER BY CASE stratum WHEN 'near_threshold' THEN n_near WHEN 'size_boundary' THEN n_size WHEN 'dense' THEN n ELSE (col % 10) / 10.0::DOUBLE END DESC, {nearest('mean_c', 10000)} DESC, name DESC) AS place FROM strat WHERE n <= 80""", "fx_detection")
 def ranked_strata(t):
-    return _ranked(t).select("name", "stratum", "place")
+    return _ranked(_mining_cells(t)).select("name", "stratum", "place")
 
 
 @query("""WITH s(stratum, share, ord) AS (VALUES ('near_threshold', 40, 0), ('size_boundary', 25, 1), ('dense', 20, 2), ('quiet', 15, 3)), c AS (SELECT unnest([4, 7, 12, 13]) AS wanted),
@@ -137,7 +154,7 @@ def quota_slots(t):
 @query(None)
 def proposals(t):
     """Twelve spaced cells by quota."""
-    cells = _ranked(t).withColumn("e", F.col("col") * 300 + 150.0).withColumn("n_", F.col("row") * 300 + 150.0)
+    cells = _ranked(_whole_cells(t)).withColumn("e", F.col("col") * 300 + 150.0).withColumn("n_", F.col("row") * 300 + 150.0)
     return mining.proposals(cells, 12)
 
 
@@ -153,8 +170,6 @@ _COVER = f"""cover AS (SELECT col, row, {_SHARE} AS share FROM (SELECT *, unnest
 
 
 def _covered(t):
-    from gridsight.functions import grid
-
     cells = grid.cells(t("fx_region_part"), 300.0).select("cell_col", "cell_row").distinct()
     return mining.coverage(cells, t("fx_region_part"))
 
