@@ -6,7 +6,7 @@ logit from word and character inputs. A token of over 24 characters is several
 words: it is cut at its signs, and what is still longer into runs of 24 characters
 that overlap by eight, so texts without blanks are read to their end; all grams of 4
 and 6 characters of a word count. The text's score is a logistic function of
-its largest logit and of the share of its windows that are toxic by themselves. The network is trained in numpy on a bounded labelled sample:
+its largest logit and of how many windows are toxic by themselves, as a share of eight at most. The network is trained in numpy on a bounded labelled sample:
 first every window of a toxic text counts as toxic, then only those the network
 itself finds so, against the windows of clean texts it finds worst.
 
@@ -41,6 +41,8 @@ LEAST_TEXTS, LEAST_RATIO, MOST_WORDS, MOST_PIECES = 3, 15.0, 5_000, 10_000
 #: Windows of a sampled text to learn from.
 WINDOWS = 24
 _BLOCK = 1024
+#: Toxic windows are a share of so many at most, so clean words around a passage do not hide it.
+_SHARED = 8
 #: Words whose rows are remembered.
 _KNOWN = 300_000
 
@@ -80,7 +82,7 @@ class Scorer:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def evidence(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: the largest window logit, and the log share of windows that are toxic by themselves."""
+        """Per text: the largest window logit, and the log share of windows that are toxic by themselves, of ``_SHARED`` at most."""
         best = np.full(len(texts), -np.inf)
         hits, windows = np.zeros(len(texts)), np.zeros(len(texts))
         full: list[np.ndarray] = []
@@ -126,7 +128,7 @@ class Scorer:
                 if size >= _BLOCK:
                     flush()
         flush()
-        return np.stack([best, np.log((hits + 0.5) / (windows + 1))], 1)
+        return np.stack([best, np.log((hits + 0.5) / (np.minimum(windows, _SHARED) + 1))], 1)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         weights = np.array(self.network.scale)

@@ -97,6 +97,14 @@ def test_toxicity_without_blanks():
         assert got[0] < 0.7 <= got[1], (joint, got)
 
 
+def test_toxic_passage_in_a_long_text():
+    texts, labels = _toxic_corpus()
+    scorer = toxicity.Scorer(toxicity.fit(texts[:200], labels[:200]))
+    words = prose(7, 100_000).split()
+    got = scorer.score([" ".join(words), " ".join([*words[:50_000], *"you vile rotten vermin".split(), *words[50_000:]])])
+    assert got[0] < 0.7 <= got[1]
+
+
 def test_toxicity_edges(spark):
     network = toxicity.train(empty(spark), spark.createDataFrame([], "doc_id long, toxic int"))
     got = toxicity.score(hard(spark), network).collect()
