@@ -1,20 +1,29 @@
 """Adaptive quality rules from mergeable quantile sketches.
 
-Every text gets a handful of integer statistics. Per (lang, source) and per
-lang, each rate's distribution is kept as a log-linear histogram: a quantile
-sketch whose merge is the sum of counts, with a relative error of at most 1/32.
-A group's upper fence is q75 + 3 (q75 - q25), never below a stated allowance,
-so a source whose texts are all alike does not reject its own ordinary rows.
-Groups under ``min_rows`` rows borrow the fences of their language.
+Every text gets a handful of integer statistics. Per (lang, source), per lang and
+over all, each measure's distribution among the texts that pass the base rules is
+kept as a log-linear histogram: a quantile sketch whose merge is the sum of
+counts, with a relative error of at most 1/32. Fences come from the sketches
+alone: q85 + 3 (q85 - q50) upwards and, for the length of words, q15 - 3 (q50 - q15)
+downwards, so up to 15 % of junk on a side does not move its fence. No measure has
+a cutoff of its own. A group's quantiles are shrunk to its language's, and those to
+the whole corpus's, with the weight of ``PRIOR_ROWS`` rows.
+
+A rate counted on few words or lines moves in steps, so ``EVENTS`` single events (a
+sign, a line, a passage said twice, a word without length or twice as long) are taken
+off a text's count before its rate is held against the fence; in a long text they
+weigh nothing.
 
 All of it is built-in column expressions. Sketches are summed before they are
 shuffled; the fences are joined back on (lang, source) and Spark broadcasts them
 only if their measured size allows, otherwise it sorts and splits skewed keys.
 
 Defined results: a null text counts as empty (no words, base_failed); null lang
-or source form groups of their own; repeated rows are judged one by one; an
-empty table gives an empty result; input columns of any name are kept apart from
-the statistics, which live in one struct column.
+or source form groups of their own; a group without a text that passes the base
+rules has no fences and none of its texts is kept; ties lie inside a fence;
+repeated rows are judged one by one; an empty table gives an empty result; input
+columns of any name are kept apart from the statistics, which live in one struct
+column.
 """
 
 from __future__ import annotations
@@ -30,9 +39,12 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
 UPPER = "[A-Z]"
 SPAN = 8
-#: Allowance of each rate, in parts of 10,000: no fence is stricter than this.
-ALLOWANCE = {"symbol": 300, "upper": 2500, "dup_line": 4000, "repeat": 3000}
-MIN_ROWS = 100
+#: Rates in parts of 10,000 by what is counted, out of what, and how much of it one event adds (a passage said twice is two windows).
+RATES = {"symbol": ("n_symbols", "word_chars", 1), "upper": ("n_upper", "word_chars", 1), "dup_line": ("n_dup_lines", "n_lines", 1), "repeat": ("n_repeat_words", "n_words", 2 * SPAN)}
+#: The measure with a fence on either side: characters of a word, in hundredths.
+WORD_LENGTH = "word_length"
+#: Percentiles of the sketches; how often their range lies between the outer one and the fence; rows a parent's quantiles weigh; single events that are no evidence of a rate.
+QUANTILES, REACH, PRIOR_ROWS, EVENTS = (15, 50, 85), 3, 100, 3
 #: Sub-buckets of an octave in the sketch are 32, so a bin's edges are within 1/32.
 SUB_BITS = 5
 
@@ -122,18 +134,17 @@ def statistics(text: Column) -> Column:
     )
 
 
-def rates(s: Column) -> dict[str, Column]:
-    """Integer rates in parts of 10,000."""
+def measures(s: Column) -> dict[str, Column]:
+    """What the sketches hold of a text: rates in parts of 10,000, and the mean length of its words in hundredths."""
 
-    def rate(part: Column, whole: Column) -> Column:
-        return F.floor(part * 10000 / F.greatest(whole, F.lit(1))).cast("long")
+    def per(part: Column, by: int, whole: Column) -> Column:
+        return F.floor(part * by / F.greatest(whole, F.lit(1))).cast("long")
 
-    return {
-        "symbol": rate(s["n_symbols"], s["word_chars"]),
-        "upper": rate(s["n_upper"], s["word_chars"]),
-        "dup_line": rate(s["n_dup_lines"], s["n_lines"]),
-        "repeat": rate(s["n_repeat_words"], s["n_words"]),
-    }
+    return {name: per(s[part], 10000, s[whole]) for name, (part, whole, _) in RATES.items()} | {WORD_LENGTH: per(s["word_chars"], 100, s["n_words"])}
+
+
+def base_failed(s: Column) -> Column:
+    return (s["n_words"] < 20) | (100 * s["n_repeat_words"] > 30 * s["n_words"])
 
 
 def bin_floor(value: Column) -> Column:
@@ -142,37 +153,53 @@ def bin_floor(value: Column) -> Column:
     return let(drop, lambda d: F.call_function("shiftleft", F.call_function("shiftright", value, d), d)).cast("long")
 
 
-def _fences(stats: DataFrame, min_rows: int) -> DataFrame:
-    """One row per (lang, source): the upper fence of each rate."""
-    named = rates(F.col("s"))
-    pairs = F.array(*[F.struct(F.lit(k).alias("metric"), bin_floor(v).alias("bin")) for k, v in named.items()])
-    sketch = stats.select("lang", "source", F.explode(pairs).alias("p")).groupBy("lang", "source", "p.metric", "p.bin").agg(F.count(F.lit(1)).alias("n"))
+def sketches(stats: DataFrame) -> DataFrame:
+    """``lang, source, metric, bin, n``: the sketches of ``stats (lang, source, s)``; summing ``n`` over groups merges them."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("metric"), bin_floor(v).alias("bin")) for k, v in measures(F.col("s")).items()])
+    passed = stats.filter(~base_failed(F.col("s"))).select("lang", "source", F.explode(pairs).alias("p"))
+    return passed.groupBy("lang", "source", "p.metric", "p.bin").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _quantiles(sketch: DataFrame, *level: str) -> DataFrame:
+    """``*level, metric, rows, q15, q50, q85`` of the sketches merged to a level; bins of a group are bounded in number."""
+    merged = sketch.groupBy(*level, "metric", "bin").agg(F.sum("n").alias("n")).groupBy(*level, "metric").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("rows"))
+
+    def at(q: int) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("at"))
+        step = lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"), F.when(a["at"].isNull() & ((a["seen"] + x["n"]) * 100 >= F.col("rows") * q), x["bin"]).otherwise(a["at"]).alias("at"))
+        return F.aggregate("bins", start, step)["at"]
+
+    return merged.select(*level, "metric", "rows", *[at(q).alias(f"q{q}") for q in QUANTILES])
 
-    def quantiles(level: list[str]) -> DataFrame:
-        merged = sketch.groupBy(*level, "metric").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins")) if "source" in level else (
-            sketch.groupBy(*level, "metric", "bin").agg(F.sum("n").alias("n")).groupBy(*level, "metric").agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("bins"))
-        )
-        total = F.aggregate("bins", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-
-        def at(q: int) -> Column:
-            start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("long").alias("at"))
-            step = lambda a, x: F.struct((a["seen"] + x["n"]).alias("seen"), F.when(a["at"].isNull() & ((a["seen"] + x["n"]) * 100 >= F.col("rows") * q), x["bin"]).otherwise(a["at"]).alias("at"))
-            return F.aggregate("bins", start, step)["at"]
-
-        found = merged.withColumn("rows", total).select(*level, "metric", "rows", at(25).alias("q25"), at(75).alias("q75"))
-        allowed = F.create_map(*[F.lit(x) for pair in ALLOWANCE.items() for x in pair])
-        fence = F.greatest(F.col("q75") + 3 * (F.col("q75") - F.col("q25")), F.element_at(allowed, F.col("metric"))).cast("long")
-        return found.groupBy(*level).agg(F.max("rows").alias("rows"), *[F.max(F.when(F.col("metric") == m, fence)).alias(m) for m in ALLOWANCE])
-
-    own = quantiles(["lang", "source"]).alias("o")
-    wide = quantiles(["lang"]).alias("w")
-    big = F.col("o.rows") >= min_rows
-    return own.join(wide, F.col("o.lang").eqNullSafe(F.col("w.lang"))).select(
-        F.col("o.lang").alias("f_lang"), F.col("o.source").alias("f_source"), F.struct(*[F.when(big, F.col(f"o.{m}")).otherwise(F.col(f"w.{m}")).alias(m) for m in ALLOWANCE]).alias("fence")
-    )
 
+def fences(sketch: DataFrame) -> DataFrame:
+    """``f_lang, f_source, low, high``: a map from metric to fence for every (lang, source) in the sketches."""
+    own, wide, whole = (_quantiles(sketch, *level).alias(name) for name, level in (("o", ("lang", "source")), ("w", ("lang",)), ("c", ())))
+    met = own.join(wide, F.col("o.lang").eqNullSafe(F.col("w.lang")) & (F.col("o.metric") == F.col("w.metric"))).join(whole, F.col("o.metric") == F.col("c.metric"))
 
-def judge(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None, min_rows: int = MIN_ROWS) -> DataFrame:
+    def shrunk(level: str, name: str, parent: Column) -> Column:
+        rows = F.col(f"{level}.rows")
+        return F.call_function("div", rows * F.col(f"{level}.{name}") + PRIOR_ROWS * parent, rows + PRIOR_ROWS)
+
+    least, middle, most = names = [f"q{q}" for q in QUANTILES]
+    found = met.select("o.lang", "o.source", "o.metric", *[shrunk("o", q, shrunk("w", q, F.col(f"c.{q}"))).alias(q) for q in names])
+    low = F.col(least) - REACH * (F.col(middle) - F.col(least))
+    # A quantile is its bin's lower edge; a 32nd more is the upper one.
+    high = F.col(most) + F.call_function("div", F.col(most), F.lit(1 << SUB_BITS)) + REACH * (F.col(most) - F.col(middle))
+    listed = found.groupBy("lang", "source").agg(F.collect_list(F.struct("metric", low.alias("low"), high.alias("high"))).alias("f"))
+    return listed.select(F.col("lang").alias("f_lang"), F.col("source").alias("f_source"), *[F.map_from_arrays(F.col("f")["metric"], F.col("f")[side]).alias(side) for side in ("low", "high")])
+
+
+def inside(s: Column) -> Column:
+    """Whether a text's measures lie within the fences of its row (columns ``low`` and ``high``); null without fences."""
+    length = s["word_chars"] * 100
+    found = (length >= F.col("low")[WORD_LENGTH] * (s["n_words"] - EVENTS)) & (length <= F.col("high")[WORD_LENGTH] * (s["n_words"] + EVENTS))
+    for name, (part, whole, event) in RATES.items():
+        found = found & ((s[part] - EVENTS * event) * 10000 <= F.col("high")[name] * s[whole])
+    return found
+
+
+def judge(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
     """Columns ``row`` (struct of the kept input columns), ``s`` (statistics), ``base_failed`` and ``kept``.
 
     ``keep`` names the input columns to carry (all by default). The statistics are
@@ -183,15 +210,11 @@ def judge(docs: DataFrame, *, text: str = "text", lang: str = "lang", source: st
         docs.select(F.struct(*[docs[c] for c in carried]).alias("row"), docs[lang].alias("lang"), docs[source].alias("source"), statistics(docs[text]).alias("s")),
         "quality-rules",
     )
-    s = F.col("s")
-    failed = (s["n_words"] < 20) | (100 * s["n_repeat_words"] > 30 * s["n_words"])
     # A stored table has a known size, so a small one is broadcast before any text is shuffled.
-    fences = scratch.table(_fences(stored, min_rows), "fences")
-    joined = stored.join(fences, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
-    inside = F.lit(True)
-    for name, value in rates(s).items():
-        inside = inside & (value <= F.col("fence")[name])
-    return joined.select("row", "s", failed.alias("base_failed"), (~failed & F.coalesce(inside, F.lit(True))).alias("kept"))
+    bounds = scratch.table(fences(scratch.table(sketches(stored), "sketches")), "fences")
+    joined = stored.join(bounds, F.col("lang").eqNullSafe(F.col("f_lang")) & F.col("source").eqNullSafe(F.col("f_source")), "left")
+    failed = base_failed(F.col("s"))
+    return joined.select("row", "s", failed.alias("base_failed"), (~failed & F.coalesce(inside(F.col("s")), F.lit(False))).alias("kept"))
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
@@ -206,50 +229,44 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_RATE_SQL = {
-    "symbol": "n_symbols * 10000 // greatest(word_chars, 1)",
-    "upper": "n_upper * 10000 // greatest(word_chars, 1)",
-    "dup_line": "n_dup_lines * 10000 // greatest(n_lines, 1)",
-    "repeat": "n_repeat_words * 10000 // greatest(n_words, 1)",
-}
-
-
 def judged_sql(docs: str = "documents") -> str:
     """DuckDB text of ``judge``: common table expressions ending in ``qr_judged``."""
     ws = "[\\x20\\x09-\\x0D]"
-    metrics = ", ".join(f"({v}) AS r_{k}" for k, v in _RATE_SQL.items())
-    long = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS metric, r_{k} AS v FROM qr_rated" for k in _RATE_SQL)
-    allow = "CASE metric " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ALLOWANCE.items()) + " END"
+    rates = {name: f"{part} * 10000 // greatest({whole}, 1)" for name, (part, whole, _) in RATES.items()} | {WORD_LENGTH: "word_chars * 100 // greatest(n_words, 1)"}
+    long = " UNION ALL ".join(f"SELECT lang, source, '{k}' AS metric, {v} AS v FROM qr_stats WHERE NOT base_failed" for k, v in rates.items())
 
     def level(name: str, keys: str) -> str:
-        return f"""qr_c_{name} AS (SELECT {keys}, metric, bin, sum(n) AS n FROM qr_bins GROUP BY {keys}, metric, bin),
-        qr_r_{name} AS (SELECT *, sum(n) OVER (PARTITION BY {keys}, metric ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY {keys}, metric) AS total FROM qr_c_{name}),
-        qr_q_{name} AS (SELECT {keys}, metric, max(total) AS total, min(bin) FILTER (WHERE seen * 100 >= total * 25) AS q25, min(bin) FILTER (WHERE seen * 100 >= total * 75) AS q75 FROM qr_r_{name} GROUP BY {keys}, metric),
-        qr_f_{name} AS (SELECT {keys}, metric, total, greatest(q75 + 3 * (q75 - q25), {allow}) AS fence FROM qr_q_{name})"""
-
-    verdict = " AND ".join(
-        f"r_{k} <= (CASE WHEN max(o.total) FILTER (WHERE o.metric = '{k}') >= {MIN_ROWS} THEN max(o.fence) FILTER (WHERE o.metric = '{k}') ELSE max(w.fence) FILTER (WHERE w.metric = '{k}') END)"
-        for k in _RATE_SQL
-    )
+        by = f"{keys}, metric" if keys else "metric"
+        return f"""qr_c_{name} AS (SELECT {by}, bin, sum(n) AS n FROM qr_bins GROUP BY {by}, bin),
+        qr_r_{name} AS (SELECT *, sum(n) OVER (PARTITION BY {by} ORDER BY bin) AS seen, sum(n) OVER (PARTITION BY {by}) AS total FROM qr_c_{name}),
+        qr_q_{name} AS (SELECT {by}, max(total)::BIGINT AS n, {", ".join(f"min(bin) FILTER (WHERE seen * 100 >= total * {q}) AS q{q}" for q in QUANTILES)} FROM qr_r_{name} GROUP BY {by})"""
+
+    def shrunk(level: str, name: str, parent: str) -> str:
+        return f"(({level}.n * {level}.{name} + {PRIOR_ROWS} * {parent}) // ({level}.n + {PRIOR_ROWS}))"
+
+    least, middle, most = names = [f"q{q}" for q in QUANTILES]
+    quantiles = ", ".join(f"{shrunk('o', q, shrunk('w', q, f'c.{q}'))} AS {q}" for q in names)
+    sides = ", ".join(f"max(high) FILTER (WHERE metric = '{m}') AS h_{m}" for m in rates) + f", max(low) FILTER (WHERE metric = '{WORD_LENGTH}') AS l_{WORD_LENGTH}"
+    verdict = " AND ".join([f"({part} - {EVENTS * event}) * 10000 <= h_{name} * {whole}" for name, (part, whole, event) in RATES.items()] + [f"word_chars * 100 BETWEEN l_{WORD_LENGTH} * (n_words - {EVENTS}) AND h_{WORD_LENGTH} * (n_words + {EVENTS})"])
     return f"""
     qr_base AS (SELECT row_number() OVER () AS rid, *, coalesce(text, '') AS t FROM {docs}),
     qr_split AS (SELECT *, list_filter(string_split_regex(t, '{ws}+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM qr_base),
     qr_win AS (SELECT rid, i, array_to_string(ws[i:i + {SPAN - 1}], ' ') AS w FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - {SPAN - 2}, 1))) AS i FROM qr_split)),
     qr_dup AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, w) AS n FROM qr_win) WHERE n > 1),
     qr_cover AS (SELECT rid, sum(least({SPAN}, coalesce(nxt - i, {SPAN}))) AS n FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM qr_dup) GROUP BY rid),
-    qr_stats AS (SELECT b.*, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '{ws}', '', 'g'))::BIGINT AS word_chars,
+    qr_counts AS (SELECT b.*, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '{ws}', '', 'g'))::BIGINT AS word_chars,
         (length(t) - length(regexp_replace(t, '{SYMBOLS}', '', 'g')))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
         coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines, (length(t) - length(regexp_replace(t, '{UPPER}', '', 'g')))::BIGINT AS n_upper
         FROM qr_split b LEFT JOIN qr_cover c USING (rid)),
-    qr_rated AS (SELECT *, {metrics} FROM qr_stats),
+    qr_stats AS (SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed FROM qr_counts),
     qr_bins AS (SELECT lang, source, metric, (v >> greatest(length(bin(v)) - {SUB_BITS + 1}, 0)) << greatest(length(bin(v)) - {SUB_BITS + 1}, 0) AS bin, count(*) AS n FROM ({long}) GROUP BY ALL),
     {level("own", "lang, source")},
     {level("wide", "lang")},
-    qr_verdict AS (SELECT rid, ({verdict}) AS inside FROM qr_rated r
-        LEFT JOIN qr_f_own o ON r.lang IS NOT DISTINCT FROM o.lang AND r.source IS NOT DISTINCT FROM o.source
-        LEFT JOIN qr_f_wide w ON r.lang IS NOT DISTINCT FROM w.lang AND w.metric = o.metric GROUP BY rid, {", ".join(f"r_{k}" for k in _RATE_SQL)}),
-    qr_judged AS (SELECT r.*, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
-        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND v.inside AS kept FROM qr_rated r JOIN qr_verdict v USING (rid))"""
+    {level("whole", "")},
+    qr_shrunk AS (SELECT o.lang, o.source, o.metric, {quantiles} FROM qr_q_own o JOIN qr_q_wide w ON o.lang IS NOT DISTINCT FROM w.lang AND o.metric = w.metric JOIN qr_q_whole c ON o.metric = c.metric),
+    qr_bounds AS (SELECT *, {least} - {REACH} * ({middle} - {least}) AS low, {most} + {most} // {1 << SUB_BITS} + {REACH} * ({most} - {middle}) AS high FROM qr_shrunk),
+    qr_fences AS (SELECT lang AS f_lang, source AS f_source, {sides} FROM qr_bounds GROUP BY lang, source),
+    qr_judged AS (SELECT r.*, NOT base_failed AND coalesce({verdict}, false) AS kept FROM qr_stats r LEFT JOIN qr_fences ON lang IS NOT DISTINCT FROM f_lang AND source IS NOT DISTINCT FROM f_source)"""
 
 
 ORACLE_SQL = f"""WITH {judged_sql()}

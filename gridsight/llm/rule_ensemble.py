@@ -115,14 +115,17 @@ def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float, *, steps: int =
 def fit(names: list[str], x: np.ndarray, y: np.ndarray, *, penalties: tuple[float, ...] = (0.01, 0.003, 0.001, 0.0003)) -> RuleEnsemble:
     """Fit on ``x`` (rows by features) and 0/1 labels; the penalty is picked on every fifth row.
 
-    With fewer than ten rows of either class there is nothing to split on, and the
-    model is the smoothed share of ones.
+    With fewer than ten rows of either class, or statistics that no cut tells apart,
+    there is nothing to split on, and the model is the smoothed share of ones.
     """
     ones = int(y.sum())
+    flat = RuleEnsemble(names, float(np.log((ones + 1) / (len(y) - ones + 1))))
     if min(ones, len(y) - ones) < 10:
-        return RuleEnsemble(names, float(np.log((ones + 1) / (len(y) - ones + 1))))
+        return flat
     held = np.arange(len(y)) % 5 == 4
     rules = tree_paths(x[~held], y[~held])
+    if not rules:
+        return flat
     z = np.stack([holds(r, x) for r in rules], 1).astype(float)
     # Rules that hold on the same rows are one column.
     _, first = np.unique(z, axis=1, return_index=True)
