@@ -178,9 +178,50 @@ def test_reputation_blocks_bad_hosts(spark):
     assert got[1] == "block" and got[2] == "allow" and got[9999] == "allow"
 
 
-def test_urls_against_sql(spark):
-    folder = "/root/testdata/sf0.01"
+def _url_sql(folder: str, files: str = "") -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in ("pages", "labels"):
-        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+        con.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet{files}'")
+    return con
+
+
+def test_registered_domains(spark):
+    want = {
+        "a.b.site.org": ("site.org", "org"), "x.shop.co.uk": ("shop.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "me:pw@www.site.org:8080": ("site.org", "org"), "10.0.0.7:80": ("10.0.0.7", "10.0.0.7"),
+        "[::1]": ("[::1]", "[::1]"), "localhost": ("localhost", "localhost"), "": ("", ""), "site.org.": ("site.org", "org"), "a.com.com": ("com.com", "com"),
+    }
+    domain, suffix = url_filter.registered(F.col("h"))
+    got = spark.createDataFrame([(h,) for h in want], "h string").select("h", domain, suffix).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == want
+
+
+def test_reputation_by_level(spark, tmp_path):
+    """A verdict that hangs on the host, on the domain and on the suffix alone, in the registered query and in its SQL."""
+    hosts: list[tuple[str, int, int]] = []  # host, pages with a good outcome, with a bad one
+    for d in range(12):
+        hosts += [(f"h{k}.fine{d}.org", 30, 1) for k in range(6)] + [(f"h{k}.vile{d}.xyz", 1, 30) for k in range(6)]
+    hosts += [(f"h{k}.rotten.org", 0, 40) for k in range(5)] + [("odd.fine0.org", 0, 60), ("kept.vile0.xyz", 60, 0), ("new.fine1.org", 0, 0), ("new.rotten.org", 0, 0), ("www.new.xyz", 0, 0), ("www.new.org", 0, 0)]
+    pages, labels = [], []
+    for host, good, bad in hosts:
+        for quality in [1] * good + [0] * bad + [None]:
+            pages.append((len(pages), f"http://{host}/{len(pages)}"))
+            labels.append((len(labels), quality))
+    folder = f"{tmp_path}/web"
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{folder}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{folder}/labels.parquet")
+    rows = {tuple(r) for r in url_filter.op8_url_filter(spark, folder).collect()}
+    con = _url_sql(folder, "/*.parquet")
+    assert set(con.sql(url_filter.ORACLE_SQL).fetchall()) == rows
+    assert con.sql(f"WITH {url_filter.VERDICTS_SQL} SELECT count(*), count(DISTINCT host) FROM verdicts").fetchall() == [(len(hosts), len(hosts))]
+    got = {r[1]: r[4] for r in rows}
+    assert got["odd.fine0.org"] == "block" and got["h0.fine0.org"] == "allow" and got["kept.vile0.xyz"] == "allow", "host"
+    assert got["new.rotten.org"] == "block" and got["new.fine1.org"] == "allow", "domain"
+    assert got["www.new.xyz"] == "block" and got["www.new.org"] == "allow", "suffix"
+
+
+def test_urls_against_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    con = _url_sql(folder)
     assert Counter(con.sql(url_filter.ORACLE_SQL).fetchall()) == Counter(tuple(r) for r in url_filter.op8_url_filter(spark, folder).select("page_id", "host", "path", "rule", "verdict").collect())
+    hosts = con.sql("SELECT count(DISTINCT regexp_extract(url, '://([^/?#]*)', 1)) FROM pages").fetchall()
+    assert con.sql(f"WITH {url_filter.VERDICTS_SQL} SELECT count(*) FROM verdicts").fetchall() == hosts
