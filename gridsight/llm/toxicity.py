@@ -8,7 +8,8 @@ that overlap by eight, so texts without blanks are read to their end; all grams
 and 6 characters of a word count. The text's score is a logistic function of
 its largest logit and of how many windows are toxic by themselves, as a share of eight at most. The network is trained in numpy on a bounded labelled sample:
 first every window of a toxic text counts as toxic, then only those the network
-itself finds so, against the windows of clean texts it finds worst.
+itself finds so, against the windows of clean texts it finds worst. Sampled texts of
+any length are cut to windows on the executors, and those go to the driver.
 
 Scoring is a projection in Arrow batches without shuffle. Equal texts get equal
 scores whatever else is in their batch.
@@ -31,15 +32,13 @@ from pyspark.sql import functions as F
 
 from .gru import LONGEST, MOST_GRAMS, Adam, Network, grams, normal, pieces, sigmoid
 
-#: Bounds of the training sample: labelled rows, and characters of a text that may be in it.
-MAX_TRAINING_ROWS, MAX_TRAINING_CHARACTERS = 4000, 20_000
+#: Bounds of the training sample: labelled rows, and windows of one row, which are drawn evenly at random from all of a longer text.
+MAX_TRAINING_ROWS, MAX_TRAINING_WINDOWS = 4000, 256
 FOLDS, HELD_OUT = 3, 1
 WINDOW, STEP = 32, 24
 DIM, HIDDEN = 8, 8
 #: A word or character gram gets a vector if it is in so many sampled texts and its log-likelihood ratio is so high; so many get one.
 LEAST_TEXTS, LEAST_RATIO, MOST_WORDS, MOST_PIECES = 3, 15.0, 5_000, 10_000
-#: Windows of a sampled text to learn from.
-WINDOWS = 24
 _BLOCK = 1024
 #: Toxic windows are a share of so many at most, so clean words around a passage do not hide it.
 _SHARED = 8
@@ -63,6 +62,20 @@ def split(text: str | None) -> list[str]:
     return found or [""]
 
 
+def sampled(text: str | None, mark: int, most: int = MAX_TRAINING_WINDOWS) -> list[str]:
+    """Windows of a text to learn from, each as normalised words joined by blanks; ``mark`` seeds the choice among more than ``most``."""
+    words = list(map(normal, split(text)))
+    begins = starts(len(words))
+    if len(begins) > most:
+        begins = sorted(np.random.default_rng(mark).choice(begins, most, replace=False).tolist())
+    return [" ".join(words[s : s + WINDOW]) for s in begins]
+
+
+def _evidence(best: np.ndarray, hits: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """The largest window logit, and the log share of windows that are toxic by themselves, of ``_SHARED`` at most."""
+    return np.stack([best, np.log((hits + 0.5) / (np.minimum(windows, _SHARED) + 1))], 1)
+
+
 class Scorer:
     """A network with the gates of words met so far; words without any known part share row 0."""
 
@@ -82,7 +95,7 @@ class Scorer:
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def evidence(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: the largest window logit, and the log share of windows that are toxic by themselves, of ``_SHARED`` at most."""
+        """Per text: the largest window logit, and the log share of toxic windows."""
         best = np.full(len(texts), -np.inf)
         hits, windows = np.zeros(len(texts)), np.zeros(len(texts))
         full: list[np.ndarray] = []
@@ -128,7 +141,7 @@ class Scorer:
                 if size >= _BLOCK:
                     flush()
         flush()
-        return np.stack([best, np.log((hits + 0.5) / (np.minimum(windows, _SHARED) + 1))], 1)
+        return _evidence(best, hits, windows)
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         weights = np.array(self.network.scale)
@@ -164,8 +177,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, *, ridge: float = 0.5) -> tuple[floa
     return tuple(map(float, w))
 
 
-def fit(texts: list[str | None], labels: list[int], *, seed: int = 7, epochs: tuple[int, int] = (2, 6), rate: float = 0.02) -> Network:
-    """Train on texts with 0/1 labels."""
+def fit(texts: list[list[str]], labels: list[int], *, seed: int = 7, epochs: tuple[int, int] = (2, 6), rate: float = 0.02) -> Network:
+    """Train on texts, each as its ``sampled`` windows, with 0/1 labels."""
     y_text = np.array(labels, float)
     ones = int(y_text.sum())
     if min(ones, len(y_text) - ones) < 5:
@@ -176,12 +189,10 @@ def fit(texts: list[str | None], labels: list[int], *, seed: int = 7, epochs: tu
     # Words and grams are numbers from here on: what the driver holds is a few arrays, not texts of pieces.
     row: dict[str, int] = {}
     windows, owner, per_text = [], [], []
-    for k, text in enumerate(texts):
-        words = np.array([row.setdefault(normal(w), len(row)) for w in split(text)], np.int32)
-        begins = sorted(draw.permutation(starts(len(words)))[:WINDOWS].tolist())
-        windows += [words[s : s + WINDOW] for s in begins]
-        owner += [k] * len(begins)
-        per_text.append(np.unique(np.concatenate(windows[-len(begins) :])))
+    for k, held in enumerate(texts):
+        windows += [np.array([row.setdefault(w, len(row)) for w in x.split(" ")], np.int32) for x in held]
+        owner += [k] * len(held)
+        per_text.append(np.unique(np.concatenate(windows[-len(held) :])))
     kinds = list(row)
     gram_row: dict[str, int] = {}
     gram_of = np.full((len(kinds), MOST_GRAMS), -1, np.int32)
@@ -204,6 +215,7 @@ def fit(texts: list[str | None], labels: list[int], *, seed: int = 7, epochs: tu
     del windows, kinds
     # Windows without a known part are alike; a text keeps one of them, and only if it has no other.
     owner = np.array(owner)
+    counts = np.bincount(owner, minlength=len(texts))
     live = at.any(1)
     _, first = np.unique(owner, return_index=True)
     has = np.zeros(len(texts), bool)
@@ -247,9 +259,14 @@ def fit(texts: list[str | None], labels: list[int], *, seed: int = 7, epochs: tu
         now = logits()
         top = worst(now, 3)
         epoch(np.union1d(top[y[top] == 0], np.union1d(worst(now, 1), np.flatnonzero((y == 1) & (now > 0)))))
-    whole = Scorer(network)
-    sample = sorted(draw.permutation(len(texts))[:1500].tolist())
-    network.scale = _logistic(whole.evidence([texts[k] for k in sample]), y_text[sample])
+    # A text's other windows are all like row 0 and score as one of them does.
+    now = logits()
+    best, hits = np.full(len(texts), float(network.forward(network.gates(network.inputs(ids[:1], rows[:1])), np.zeros((1, WINDOW), np.int64), None)[0])), np.zeros(len(texts))
+    seen = np.bincount(owner, minlength=len(texts))
+    best[seen == counts] = -np.inf
+    np.maximum.at(best, owner, now)
+    np.add.at(hits, owner, now > 0)
+    network.scale = _logistic(_evidence(best, hits, counts), y_text)
     return network
 
 
@@ -257,14 +274,21 @@ def held_out(id: Column) -> Column:
     return F.coalesce(F.crc32(id.cast("string")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", most: int = MAX_TRAINING_ROWS, most_characters: int = MAX_TRAINING_CHARACTERS) -> Network:
-    """Learn from ``most`` labelled rows at most, outside the held-out fold and of no more than ``most_characters``."""
+def train(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", most: int = MAX_TRAINING_ROWS, windows: int = MAX_TRAINING_WINDOWS) -> Network:
+    """Learn from ``most`` labelled rows at most, outside the held-out fold, by no more than ``windows`` windows of each."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).alias("y"))
-    order = [F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "y"]
-    sample = usable.orderBy(*order).limit(most)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").filter(F.length("text") <= most_characters)
-    found = rows.orderBy(*order, "text").limit(most).collect()
-    return fit([r["text"] for r in found], [r["y"] for r in found])
+    mark = F.xxhash64(F.col("doc_id").cast("string"))
+    sample = usable.orderBy(mark, "doc_id", "y").limit(most)
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(mark.alias("mark"), F.col("doc_id").cast("string").alias("name"), "y", "text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [sampled(t.as_py(), m.as_py() & 0xFFFFFFFF, windows) for m, t in zip(batch.column(0), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(held, pa.list_(pa.string()))], ["mark", "name", "y", "windows"])
+
+    cuts = rows.withColumn("y", F.col("y").cast("int")).mapInArrow(cut, "mark long, name string, y int, windows array<string>")
+    found = cuts.orderBy("mark", "name", "y", "windows").limit(most).collect()
+    return fit([r["windows"] for r in found], [r["y"] for r in found])
 
 
 def score(docs: DataFrame, network: Network, *, text: str = "text", id: str = "doc_id") -> DataFrame:

@@ -61,15 +61,38 @@ def _toxic_corpus() -> tuple[list[str], list[int]]:
     return texts, labels
 
 
+def _fitted(texts: list[str], labels: list[int]):
+    return toxicity.fit([toxicity.sampled(t, k) for k, t in enumerate(texts)], labels)
+
+
+def test_samples_are_windows_of_the_whole_text():
+    words = [f"w{k}" for k in range(50_000)]
+    found = toxicity.sampled(" ".join(words), 3)
+    assert len(found) == toxicity.MAX_TRAINING_WINDOWS and found == toxicity.sampled(" ".join(words), 3)
+    begins = [int(x.split(" ")[0][1:]) for x in found]
+    assert min(begins) < 2_000 and max(begins) > 48_000 and all(x == " ".join(words[b : b + toxicity.WINDOW]) for x, b in zip(found, begins, strict=True))
+    assert toxicity.sampled(None, 0) == [""] and toxicity.sampled("a, b", 0) == ["a b"]
+
+
+def test_toxicity_held_out(spark):
+    """Rows that were not learnt from, of the labelled documents."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic IS NOT NULL")
+    got = toxicity.op1_toxicity(spark, folder).join(labels, "doc_id").filter("held_out").collect()
+    ones = [r["predicted"] for r in got if r["toxic"]]
+    zeros = [r["predicted"] for r in got if not r["toxic"]]
+    assert sum(ones) >= 0.9 * len(ones) and sum(zeros) <= 0.02 * len(zeros) and min(len(ones), len(zeros)) > 100
+
+
 def test_toxicity_learns_and_ignores_its_batch():
     texts, labels = _toxic_corpus()
-    network = toxicity.fit(texts[:200], labels[:200])
+    network = _fitted(texts[:200], labels[:200])
     scorer = toxicity.Scorer(network)
     got = scorer.score(texts)
     assert (((got >= 0.7) == np.array(labels))[200:]).mean() >= 0.95
     assert np.allclose(got, [toxicity.Scorer(network).score([t])[0] for t in texts], atol=1e-5)
     long = " ".join(texts[:200])
-    assert scorer.score([prose(7, 100_000) + " vermin rotten " * 30])[0] > 0 and 0 <= scorer.score([long, None, "", " \n"])[1] <= 1
+    assert scorer.score([prose(7, 100_000) + " vermin rotten " * 30])[0] >= 0.7 and all(0 <= x <= 1 for x in scorer.score([long, None, "", " \n"]))
 
 
 @pytest.mark.parametrize("letters", ["abc", "ab_/c", "".join(map(chr, range(0x4E00, 0x4E40))), "กิ่งนี้"])
@@ -89,7 +112,7 @@ def test_long_tokens_are_read_whole(letters):
 
 def test_toxicity_without_blanks():
     texts, labels = _toxic_corpus()
-    scorer = toxicity.Scorer(toxicity.fit(texts[:200], labels[:200]))
+    scorer = toxicity.Scorer(_fitted(texts[:200], labels[:200]))
     for joint in ("_", "/", "-", ".", "_/_"):
         clean, toxic = prose(8, 40).split(), prose(8, 40).split()
         toxic[20:20] = ["vile", "rotten", "vermin"]
@@ -99,7 +122,7 @@ def test_toxicity_without_blanks():
 
 def test_toxic_passage_in_a_long_text():
     texts, labels = _toxic_corpus()
-    scorer = toxicity.Scorer(toxicity.fit(texts[:200], labels[:200]))
+    scorer = toxicity.Scorer(_fitted(texts[:200], labels[:200]))
     words = prose(7, 100_000).split()
     got = scorer.score([" ".join(words), " ".join([*words[:50_000], *"you vile rotten vermin".split(), *words[50_000:]])])
     assert got[0] < 0.7 <= got[1]
