@@ -23,6 +23,18 @@ def _open(part: str) -> bool:
     return not part or part[0].isspace() or part[-1].isspace() or "▁" in part
 
 
+def stretches(text: str, size: int) -> Iterator[str]:
+    """A text at safe cuts, each stretch of ``size`` characters or a little more; the blanks at the cuts are left out."""
+    start = 0
+    while len(text) - start > size:
+        cut = CUT.search(text, start + size)
+        if cut is None:
+            break
+        yield text[start : cut.start()]
+        start = cut.end()
+    yield text[start:] if start else text
+
+
 class Memo:
     """Encodings of pieces; ``encode`` gets a list of pieces that are not known yet.
 
@@ -34,39 +46,54 @@ class Memo:
         self.encode, self.known, self.batch_bytes = encode, {}, batch_bytes
 
     def _batches(self, parts: Iterable[str]) -> Iterator[tuple[list[str], list]]:
-        """Pieces and their encodings, made in batches of about ``batch_bytes``."""
+        """Pieces and their encodings, made in batches of about ``batch_bytes`` in UTF-8."""
         batch: list[str] = []
         size = 0
         for part in parts:
             batch.append(part)
-            size += 4 * len(part)
+            size += len(part) if part.isascii() else len(part.encode())
             if size >= self.batch_bytes:
                 yield batch, list(self.encode(batch))
                 batch, size = [], 0
         if batch:
             yield batch, list(self.encode(batch))
 
-    def of(self, text: str) -> tuple[list[str], list]:
-        """The pieces of a text, and the encodings of all but the first, each as a piece that follows a blank."""
-        if len(self.known) > MEMO_ENTRIES:
-            self.known = dict(islice(self.known.items(), MEMO_KEPT))
+    def _cut(self, text: str) -> tuple[list[str], set[str]]:
+        """Pieces of a text, and those after the first that are not known."""
         parts = text.split(" ")
-        known = self.known
-        new = set(parts[1:]).difference(known)
-        extra: dict = {}
+        new = set(parts[1:]).difference(self.known)
         if _open(parts[0]) or any(map(_open, new)):
-            # Only the first and the last piece of a safe cut can begin or end with a blank.
             parts = CUT.split(text)
-            new = set(parts[1:]).difference(known)
-            if len(parts) > 1 and _open(parts[-1]):
-                new.discard(parts[-1])
-                extra[parts[-1]] = next(self._batches([parts[-1]]))[1][0]
+            new = set(parts[1:]).difference(self.known)
+        return parts, new
+
+    def all_of(self, texts: list[str]) -> tuple[list[list[str]], Callable[[str], object]]:
+        """The pieces of each text, and a function from a piece that follows a blank to its encoding.
+
+        Pieces met for the first time are encoded together, whichever texts they are from.
+        """
+        if len(self.known) > MEMO_ENTRIES:
+            self.known = dict(islice(self.known.items(), MEMO_KEPT))
+        cut, new, ends = [], set(), set()
+        for text in texts:
+            parts, unknown = self._cut(text)
+            cut.append(parts)
+            new |= unknown
+            # Only the first and the last piece of a safe cut can begin or end with a blank.
+            if len(parts) > 1 and parts[-1] in unknown and _open(parts[-1]):
+                ends.add(parts[-1])
+        known, extra = self.known, {}
         for batch, values in self._batches(new):
-            if max(map(len, batch)) <= MEMO_LENGTH:
+            if not ends and max(map(len, batch)) <= MEMO_LENGTH:
                 known.update(zip(batch, values, strict=True))
             else:
                 for part, value in zip(batch, values, strict=True):
-                    (extra if len(part) > MEMO_LENGTH else known)[part] = value
+                    (extra if len(part) > MEMO_LENGTH or part in ends else known)[part] = value
         if not extra:
-            return parts, list(map(known.__getitem__, parts[1:]))
-        return parts, [known[p] if p in known else extra[p] for p in parts[1:]]
+            return cut, known.__getitem__
+        return cut, lambda part: known[part] if part in known else extra[part]
+
+    def of(self, text: str) -> tuple[list[str], list]:
+        """The pieces of a text, and the encodings of all but the first, each as a piece that follows a blank."""
+        (parts,), value = self.all_of([text])
+        return parts, list(map(value, parts[1:]))

@@ -1,8 +1,9 @@
 """Token counts: batches of pieces encoded in Arrow functions, lengths only.
 
-Texts are split at safe boundaries (see ``chunks``), pieces not met before are
-encoded in batches balanced by bytes, and a text's count is the sum over its
-pieces. Ids never leave the encoder.
+Texts are split at safe boundaries (see ``chunks``), long ones first to stretches of
+bounded length. Stretches of many texts are taken together by bytes; their pieces
+not met before are encoded in batches of equal bytes, whichever texts they are from,
+and a text's count is the sum over its pieces. Ids never leave the encoder.
 
 Defined results: a null or empty text has no tokens; a text of any length is
 counted whole; repeated rows are counted each; an empty table gives an empty
@@ -19,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe_tree import default_path
-from .chunks import Memo
+from .chunks import Memo, stretches
 
 VOCABULARY = "piece_bpe_32k.model"
 LIMIT = 4096
-BATCH_BYTES = 1 << 20
+#: Bytes of pieces in a call of the encoder, characters of a stretch, and of stretches that are taken together.
+BATCH_BYTES, STRETCH, TOGETHER = 1 << 20, 1 << 20, 1 << 22
 
 
 class Counter:
@@ -40,7 +42,32 @@ class Counter:
         """Token counts of whole texts."""
         if not self.safe:
             return [len(self._model.encode(x)) for x in texts]
-        return [len(self._model.encode(parts[0])) + sum(rest) for parts, rest in map(self.memo.of, texts)]
+        totals = [0] * len(texts)
+        owners: list[int] = []
+        held: list[str] = []
+        size = 0
+
+        def flush() -> None:
+            cut, value = self.memo.all_of(held)
+            for k, parts in zip(owners, cut, strict=True):
+                totals[k] += sum(map(value, parts[1:]))
+            firsts = [parts[0] for parts in cut]
+            for k, ids in zip(owners, self._model.encode(firsts, num_threads=1), strict=True):
+                totals[k] += len(ids)
+            owners.clear()
+            held.clear()
+
+        for k, text in enumerate(texts):
+            for stretch in stretches(text, STRETCH):
+                owners.append(k)
+                held.append(stretch)
+                size += len(stretch)
+                if size >= TOGETHER:
+                    flush()
+                    size = 0
+        if held:
+            flush()
+        return totals
 
 
 @lru_cache(2)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -57,6 +58,51 @@ def test_large_pieces():
         assert COUNTER.count([text]) == [len(COUNTER._model.encode(text))]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "ab", "the", "é", "中", "文", "字", "กิ", "1", "22", "!", "--", "'", "'l", "l", "ll", "\n", " ", "\t", "\u0378", "\U000323e7", "🙂", "\x1c", "\x85"]), max_size=200).map("".join))
+def test_seams_without_blanks(text):
+    """Long matches, space runs, contractions and unassigned characters over the seams of tiny leaves."""
+    assert bpe_tree.unpacked(CODEC.encode(text)) == CODEC.encoding.encode_ordinary(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "c", "st", "ing", "er", "中", "國", "é"]), min_size=1, max_size=400).map("".join), st.data())
+def test_tokens_of_one_match_join(text, data):
+    """Encoding is a monoid: wherever a match is cut, the halves' tokens join to the library's."""
+    cut = data.draw(st.integers(0, len(text)))
+    a, b = (CODEC.encoding.encode_ordinary(x) for x in (text[:cut], text[cut:]))
+    assert (CODEC.join_tokens(a, b) if a and b else a or b) == CODEC.encoding.encode_ordinary(text)
+
+
+def test_windows_stay_small():
+    """Joining two long stretches encodes a few tokens again, not the stretches."""
+    draw = random.Random(5)
+    for letters in ("abcdefghij", "".join(map(chr, range(0x4E00, 0x4E80))), "ก่ข้ค", "a\nb\tc"):
+        a, b = (CODEC.run("".join(draw.choices(letters, k=20_000))) for _ in range(2))
+        sizes: list[int] = []
+        inner = CODEC._piece
+        CODEC._piece = lambda data: sizes.append(len(data)) or inner(data)
+        try:
+            CODEC.join_runs(a, b)
+        finally:
+            del CODEC._piece
+        assert sum(sizes) < 2_000, letters[:3]
+
+
+def test_counts_of_many_texts_together():
+    """Texts in one batch are counted as alone, also those cut to stretches."""
+    texts = ["", "a b", " x", "x ", "a  b c ▁ d", "é " * 50, "word " * 900_000, "last one\n"]
+    assert COUNTER.count(texts) == [len(COUNTER._model.encode(t)) for t in texts]
+    assert [" ".join(chunks.stretches(t, 7)) for t in texts] == texts
+
+
+def test_batches_are_of_equal_bytes():
+    calls: list[int] = []
+    memo = chunks.Memo(lambda parts: calls.append(sum(len(p.encode()) for p in parts)) or map(len, parts), batch_bytes=1000)
+    memo.all_of([" ".join(f"é{k}x{j}" for j in range(50)) for k in range(100)])
+    assert all(1000 <= c < 1100 for c in calls[:-1]) and len(calls) > 10
+
+
 def _texts() -> Counter:
     return Counter((r[0], r[1]) for r in hard_rows())
 
