@@ -7,14 +7,18 @@ and lists them in a manifest; only the manifest's archives count, so an attempt
 that was lost leaves nothing that is read.
 
 Reading: the source ``gridsight_media`` plans byte ranges over the archives from
-their sizes alone. A reader takes an archive's directory, keeps the members that
-start in its range and streams them as Arrow batches of bounded size. A member
-is read at its offset and checked against the directory; if that fails, it alone
-is read again, with a fresh handle.
+their sizes alone. A partition takes ranges of large archives or several small ones,
+``range_bytes`` together; that size grows with the whole so that there are never more
+than about ``MOST_PARTITIONS``. A reader takes an archive's directory, keeps the
+members that start in its range and streams them as Arrow batches of bounded size. A
+member is read at its offset, checked against the directory and decoded; if any of it
+fails, it alone is read again, with a fresh handle. One that stays damaged is a row
+with its ``error`` and without payload, and the others of its range are not affected.
 
 Defined results: a null or empty text is one row of 64 zero samples; repeated
-rows are stored and returned each; null ids come back null; an empty table gives
-no archives and no rows; other columns are not read.
+rows are stored and returned each; null ids come back null, ids too long for a
+member's comment are members of their own; an empty table gives no archives and no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,15 +44,15 @@ from . import scratch
 
 WIDTH = 64
 ARCHIVE_BYTES = 64 << 20
-RANGE_BYTES = 8 << 20
+RANGE_BYTES, MOST_PARTITIONS = 32 << 20, 50_000
 BATCH_BYTES = 4 << 20
 ATTEMPTS = 3
 #: Fixed values of the PNG format: its signature, and depth 8, grey, deflate, adaptive filters, not interlaced.
 PNG_SIGNATURE = b"\x89PNG\r\n\x1a\n"
 PNG_KIND = (8, 0, 0, 0, 0)
 PNG_PART = 1 << 20
-#: Fixed value of the ZIP format: the size of a local header before its name, and where it has the lengths.
-ZIP_HEADER = 30
+#: Fixed values of the ZIP format: the size of a local header before its name, and the longest comment.
+ZIP_HEADER, LONGEST_NOTE = 30, 65_535
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -127,10 +131,16 @@ class _Archive:
         self.zip = zipfile.ZipFile(self.stream, "w", zipfile.ZIP_STORED)
         self.members = 0
 
-    def add(self, image: bytes, note: str) -> None:
+    def add(self, image: bytes, size: int, key: str | None) -> None:
+        """One member; its comment is the text's bytes and ``:`` with the id, or ``+`` if the id is the next member."""
         info = zipfile.ZipInfo(f"{self.members:08d}.png")
-        info.comment = note.encode()
+        info.comment = (f"{size}" if key is None else f"{size}:{key}").encode()
+        long = len(info.comment) > LONGEST_NOTE
+        if long:
+            info.comment = f"{size}+".encode()
         self.zip.writestr(info, image)
+        if long:
+            self.zip.writestr(zipfile.ZipInfo(f"{self.members:08d}.id"), key.encode())
         self.members += 1
 
     def size(self) -> int:
@@ -156,8 +166,7 @@ def write_archives(docs: DataFrame, folder: str, *, text: str = "text", id: str
                 if current is None:
                     current = _Archive(folder, f"media-{task:06d}-{len(done):04d}-{mark}.zip")
                 data = (x.as_py() or "").encode()
-                note = f"{len(data)}" if not key.is_valid else f"{len(data)}:{key.as_py()}"
-                current.add(to_png(padded(data)), note)
+                current.add(to_png(padded(data)), len(data), key.as_py())
                 if current.size() >= archive_bytes:
                     done.append(current.close())
                     current = None
@@ -170,17 +179,32 @@ def write_archives(docs: DataFrame, folder: str, *, text: str = "text", id: str
 
 
 @dataclass
-class ByteRange(InputPartition):
-    archive: str
-    size: int
-    start: int
-    end: int
+class ByteRanges(InputPartition):
+    """Ranges ``(archive, start, end)`` of a partition."""
+
+    ranges: list[tuple[str, int, int]]
+
+
+def plan(archives: list[tuple[str, int]], target: int) -> list[ByteRanges]:
+    """Archives ``(name, bytes)`` as partitions of about ``target`` bytes, cut and gathered in order of their names."""
+    found: list[ByteRanges] = []
+    room = 0
+    for name, size in sorted(archives):
+        step = -(-size // max(1, -(-size // target)))  # equal ranges of a large archive
+        for at in range(0, size, max(1, step)):
+            end = min(size, at + step)
+            if room < end - at:
+                found.append(ByteRanges([]))
+                room = target
+            found[-1].ranges.append((name, at, end))
+            room -= end - at
+    return found
 
 
 class MediaSource(DataSource):
     """``spark.read.format("gridsight_media").option("path", folder)``.
 
-    Options: ``range_bytes`` (size of a partition), ``attempts`` (reads of a member before it fails).
+    Options: ``range_bytes`` (least size of a partition), ``attempts`` (reads of a member before it is given up).
     """
 
     @classmethod
@@ -188,7 +212,7 @@ class MediaSource(DataSource):
         return "gridsight_media"
 
     def schema(self) -> str:
-        return "doc_id string, archive string, offset long, n_bytes long, media binary, payload binary, feature string"
+        return "doc_id string, archive string, offset long, n_bytes long, media binary, payload binary, feature string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return MediaReader(self.options)
@@ -200,34 +224,47 @@ class MediaReader(DataSourceReader):
         self.range_bytes = int(options.get("range_bytes", RANGE_BYTES))
         self.attempts = int(options.get("attempts", ATTEMPTS))
 
-    def partitions(self) -> list[ByteRange]:
+    def partitions(self) -> list[ByteRanges]:
         """Byte ranges over every archive of the manifest; directories are left to the readers."""
         fs, base = filesystem(self.folder)
         files = [f for f in fs.get_file_info(pafs.FileSelector(f"{base}/manifest")) if f.base_name.endswith(".parquet") and not f.base_name.startswith(("_", "."))]
-        found = []
+        found: list[tuple[str, int]] = []
         for file in files:
             listed = pq.read_table(file.path, filesystem=fs, columns=["name", "bytes"]).to_pydict()
             found += zip(listed["name"], listed["bytes"], strict=True)
-        return [ByteRange(name, size, at, min(size, at + self.range_bytes)) for name, size in sorted(found) for at in range(0, size, self.range_bytes)]
+        return plan(found, max(self.range_bytes, -(-sum(size for _, size in found) // MOST_PARTITIONS)))
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
         if partition is None:  # an empty plan
             return
         fs, base = filesystem(self.folder)
-        path = f"{base}/{partition.archive}"
-        members = [m for m in self._directory(fs, path) if partition.start <= m.header_offset < partition.end]
         rows, size = [], 0
-        handle = fs.open_input_file(path)
-        for member in members:
-            handle, image = self._member(fs, path, handle, member)
-            payload = from_png(image)
-            count, _, key = member.comment.decode().partition(":")
-            rows.append((key if ":" in member.comment.decode() else None, partition.archive, member.header_offset, int(count), image, payload, feature_of(payload)))
-            size += len(image) + len(payload)
-            if size >= BATCH_BYTES:
-                yield self._batch(rows)
-                rows, size = [], 0
-        handle.close()
+        for archive, start, end in partition.ranges:
+            path = f"{base}/{archive}"
+            directory = self._directory(fs, path)
+            handle = fs.open_input_file(path)
+            for place, member in enumerate(directory):
+                if not (start <= member.header_offset < end) or member.filename.endswith(".id"):
+                    continue
+                image = payload = feature = error = key = None
+                count, mark, note = _note(member.comment.decode())
+                try:
+                    if mark == "+":
+                        handle, name = self._member(fs, path, handle, directory[place + 1], bytes)
+                        key = name.decode()
+                    elif mark:
+                        key = note
+                    handle, (image, payload) = self._member(fs, path, handle, member, lambda data: (data, from_png(data)))
+                    feature = feature_of(payload)
+                except (OSError, ValueError, struct.error) as fault:
+                    error = str(fault)
+                    handle = fs.open_input_file(path)
+                rows.append((key, archive, member.header_offset, count, image, payload, feature, error))
+                size += len(image or b"") + len(payload or b"")
+                if size >= BATCH_BYTES:
+                    yield self._batch(rows)
+                    rows, size = [], 0
+            handle.close()
         if rows:
             yield self._batch(rows)
 
@@ -235,8 +272,8 @@ class MediaReader(DataSourceReader):
         with fs.open_input_file(path) as file, zipfile.ZipFile(file) as archive:
             return sorted(archive.infolist(), key=lambda m: m.header_offset)
 
-    def _member(self, fs, path: str, handle, member: zipfile.ZipInfo):
-        """The stored bytes of one member, read at its offset; a failed read is repeated for it alone."""
+    def _member(self, fs, path: str, handle, member: zipfile.ZipInfo, decoded):
+        """The handle in use and ``decoded`` of one member's bytes, read at its offset; what fails is repeated for it alone."""
         for attempt in range(self.attempts):
             try:
                 handle.seek(member.header_offset)
@@ -246,8 +283,8 @@ class MediaReader(DataSourceReader):
                 data = handle.read(member.compress_size)
                 if len(data) != member.compress_size or zlib.crc32(data) != member.CRC:
                     raise OSError(f"{path}: member at {member.header_offset} is damaged")
-                return handle, data
-            except (OSError, struct.error):
+                return handle, decoded(data)
+            except (OSError, ValueError, struct.error):
                 if attempt + 1 == self.attempts:
                     raise
                 time.sleep(0.1 * 2**attempt)
@@ -256,11 +293,17 @@ class MediaReader(DataSourceReader):
 
     @staticmethod
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        names = ["doc_id", "archive", "offset", "n_bytes", "media", "payload", "feature"]
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.string()]
+        names = ["doc_id", "archive", "offset", "n_bytes", "media", "payload", "feature", "error"]
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.string(), pa.string()]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
+def _note(comment: str) -> tuple[int, str, str]:
+    """Bytes of a text, the mark after them (none for a null id) and the id."""
+    digits = len(comment) - len(comment.lstrip("0123456789"))
+    return int(comment[:digits] or 0), comment[digits : digits + 1], comment[digits + 1 :]
+
+
 def media(docs: DataFrame, *, text: str = "text", id: str = "doc_id", folder: str | None = None, **options) -> DataFrame:
     """Store the texts of ``docs`` as media and read them back; ``doc_id`` has its type again."""
     spark = docs.sparkSession

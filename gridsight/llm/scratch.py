@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a temporary one on a local master (tests) and an error on a cluster."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        known = spark.sparkContext.getCheckpointDir()
-        if known is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridsight-"))
-            known = spark.sparkContext.getCheckpointDir()
-        root = known
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridsight-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

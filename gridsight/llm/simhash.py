@@ -17,7 +17,9 @@ a cell's largest class with the others.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked
 like any other; repeated rows share a class; a null doc_id never becomes the
-class id unless all of its class are null; an empty table gives an empty result.
+class id unless all of its class are null; of rows with the same id ``keep_one`` takes
+the one whose text has the least 64-bit hash, and any of those alike; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -142,10 +144,10 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", id: str = "doc_id",
 def keep_one(docs: DataFrame, *, text: str = "text", id: str = "doc_id", crowded: int = CROWDED) -> DataFrame:
     """One row of each class of near-duplicates, the one with the least id; columns as in ``docs``."""
     rows = scratch.table(
-        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid"), docs[id].alias("doc_id"), fingerprint(docs[text]).alias("fp")), "rows"
+        docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("rid"), docs[id].alias("doc_id"), F.xxhash64(docs[text]).alias("hash"), fingerprint(docs[text]).alias("fp")), "rows"
     )
-    prints = rows.select("rid", "doc_id", "fp")
-    points = scratch.table(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid")).alias("first")), "fingerprints")
+    prints = rows.select("rid", "doc_id", "hash", "fp")
+    points = scratch.table(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "hash", "rid")).alias("first")), "fingerprints")
     linked = link(points.select("fp"), crowded=crowded).join(points, "fp")
     best = linked.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
     return rows.join(best, "rid", "left_semi").select("row.*")

@@ -271,15 +271,52 @@ def test_member_is_read_again(spark, monkeypatch):
             return self.file.read(n)
 
     parts = reader.partitions()
-    path = f"{base}/{parts[0].archive}"
+    path = f"{base}/{parts[0].ranges[0][0]}"
     members = reader._directory(fs, path)
     flaky = Flaky(fs)
     flaky.left = 2
-    handle, data = reader._member(flaky, path, flaky.open_input_file(path), members[0])
+    handle, data = reader._member(flaky, path, flaky.open_input_file(path), members[0], bytes)
     assert zlib.crc32(data) == members[0].CRC
     flaky.left = 3
     with pytest.raises(OSError):
-        reader._member(flaky, path, handle, members[1])
+        reader._member(flaky, path, handle, members[1], bytes)
+
+
+def test_damaged_member_is_a_row(spark):
+    folder = scratch.new_folder(spark, "media-damaged")
+    media.write_archives(hard(spark).coalesce(1), folder)
+    reader = media.MediaReader({"path": folder, "attempts": "1"})
+    fs, base = media.filesystem(folder)
+    path = f"{base}/{reader.partitions()[0].ranges[0][0]}"
+    member = reader._directory(fs, path)[3]
+    with open(path, "r+b") as file:
+        file.seek(member.header_offset + media.ZIP_HEADER + len(member.filename) + 40)
+        byte = file.read(1)
+        file.seek(-1, 1)
+        file.write(bytes([byte[0] ^ 1]))
+    rows = [r for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+    assert len(rows) == len(hard_rows()) and [r["offset"] for r in rows if r["error"]] == [member.header_offset]
+    assert all((r["payload"] is None) == bool(r["error"]) for r in rows)
+
+
+def test_long_ids(spark):
+    ids = ["a:b+c", "", "x" * 65_000, "y" * 70_000, None, "é" * 40_000]
+    docs = spark.createDataFrame([(k, "t") for k in ids], "doc_id string, text string")
+    assert Counter(r["doc_id"] for r in media.media(docs, range_bytes="300").collect()) == Counter(ids)
+
+
+def test_plan_of_ranges():
+    draw = random.Random(9)
+    archives = [(f"a{k:03d}", draw.choice([1, 50, 1000, 12345])) for k in range(200)]
+    for target in (1, 7, 1000, 10**9):
+        parts = media.plan(archives, target)
+        covered = Counter()
+        for p in parts:
+            assert p.ranges and sum(e - s for _, s, e in p.ranges) <= max(target, 1)
+            for name, s, e in p.ranges:
+                covered[name] += e - s
+        assert covered == Counter(dict(archives))
+    assert len(media.plan(archives, 10**9)) == 1 and media.plan([], 5) == []
 
 
 def test_pipeline_against_its_parts(spark, small):
