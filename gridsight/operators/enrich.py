@@ -1,16 +1,84 @@
-"""Attributes of detections from area layers."""
+"""Attributes of detections from area layers, in one join with all of them.
+
+Every layer's areas carry their kind and lie in one table; boxes and areas meet once
+in small square buckets, outlines are fetched only for pairs whose envelopes are
+near, and all attributes are conditional aggregates of one grouping. Pairs that meet
+in several buckets change nothing in a minimum or an "any".
+
+Defined results: a box without any area has null attributes and context ``other``;
+null types and names are of no parking and no bay; of several areas the first
+position wins, of equally near streets too; rows with one key are one box; empty
+layers and an empty table of boxes are no special case; other columns are kept.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridsight.functions import geometry as G
 from gridsight.operators import spatial
 
 #: Farthest a street may be from a detection's centre, in metres.
 STREET_DISTANCE = 2.0
 #: The street type of whole parking areas, and what bays' part names begin with.
 PARKING_TYPE, BAY_PREFIX = "Pysäköintialue", "Pysäköintialue"
+#: Side of a bucket in metres.
+BUCKET_M = 100.0
+
+
+def _layered(layers: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Layers in one table: ``kind``, a running ``area`` id, the named columns with the kind before them, outline and envelope."""
+    rows = [frame.select(F.lit(kind).alias("kind"), *[F.col(c).alias(f"{kind}_{c}") for c in columns], "edges", *spatial.ENVELOPE) for kind, (frame, columns) in layers.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows).withColumn("area", F.monotonically_increasing_id())
+
+
+def _pairs(boxes: DataFrame, areas: DataFrame, key: str, reach: float) -> DataFrame:
+    """Boxes with the areas whose envelopes come within ``reach``; outlines join after that, by area."""
+    own = boxes.select(key, "cx", "cy", *G.CORNERS).withColumns(dict(zip(("b0", "b1", "b2", "b3"), G.envelope(), strict=True)))
+    box = tuple(F.col(c) for c in ("b0", "b1", "b2", "b3"))
+    near = spatial.by_bucket(areas.select("area", *spatial.ENVELOPE), spatial.area_envelope(), BUCKET_M, reach=reach)
+    low_e, low_n, high_e, high_n = spatial.area_envelope()
+    close = (box[0] <= high_e + reach) & (low_e - reach <= box[2]) & (box[1] <= high_n + reach) & (low_n - reach <= box[3])
+    met = spatial.by_bucket(own, box, BUCKET_M).join(near, ["bx", "by"]).filter(close).select(key, "cx", "cy", *G.CORNERS, "area")
+    return met.join(areas.drop(*spatial.ENVELOPE), "area")
+
+
+def _attributes(boxes: DataFrame, key: str, streets: DataFrame, parking: DataFrame, parts: DataFrame, districts: DataFrame | None, within: float) -> DataFrame:
+    """One row per box that is near any area: every attribute that its pairs tell."""
+    layers = {"street": (streets, ["street_id", "kadun_nimi", "kayttotarkoitus"]), "parking": (parking, []), "part": (parts, ["part_id", "part_name"])}
+    if districts is not None:
+        layers["district"] = (districts, ["part_id", "district"])
+    areas = spatial.stored(_layered(layers), "layers")
+    kind, edges = F.col("kind"), F.col("edges")
+    told = _pairs(boxes, areas, key, within).withColumns({
+        "inside": F.when(kind != "parking", G.inside_strict(F.col("cx"), F.col("cy"), edges)),
+        "away": F.when(kind == "street", G.distance(F.col("cx"), F.col("cy"), edges)),
+        "touches": F.when(kind == "parking", G.intersects_touch(G.edges_of(G.box_ring()), edges)),
+    })
+    inside = F.col("inside")
+
+    def any_of(condition: Column) -> Column:
+        return F.coalesce(F.bool_or(condition), F.lit(False))
+
+    def first_inside(of: str, value: str, position: str) -> Column:
+        return F.min_by(f"{of}_{value}", F.when((kind == of) & inside, F.col(f"{of}_{position}")))
+
+    nearest = F.min_by(F.struct("street_kadun_nimi", "street_kayttotarkoitus"), F.when(F.col("away") <= within, F.struct("away", "street_street_id")))
+    bay = (kind == "part") & inside & F.col("part_part_name").startswith(BAY_PREFIX)
+    lot = (kind == "street") & inside & (F.col("street_kayttotarkoitus") == PARKING_TYPE)
+    # A condition that is null is not met, and must not hide the others of an "or".
+    parked = reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in (F.col("touches"), bay, lot)])
+    aggregates = {"_street": nearest, "_parked": any_of(parked), "_road": any_of((kind == "street") & inside), "street_part": first_inside("part", "part_name", "part_id")}
+    if districts is not None:
+        aggregates["district"] = first_inside("district", "district", "part_id")
+    return told.groupBy(key).agg(*[c.alias(n) for n, c in aggregates.items()])
+
+
+def _context() -> Column:
+    return F.when(F.col("_parked"), "parking").when(F.col("_road"), "street").otherwise("other")
 
 
 def attach_context(boxes: DataFrame, parking: DataFrame, streets: DataFrame, parts: DataFrame, *, key: str = "det_id") -> DataFrame:
@@ -19,17 +87,12 @@ def attach_context(boxes: DataFrame, parking: DataFrame, streets: DataFrame, par
     Parking: the box touches a regulated parking area, or its centre lies in a bay or in a
     street of the parking type. Parts have ``part_id`` and ``part_name``; the part is told whatever the context.
     """
-    bays = parts.filter(F.coalesce(F.col("part_name").startswith(BAY_PREFIX), F.lit(False)))
-    lots = streets.filter(F.col("kayttotarkoitus") == PARKING_TYPE)
-    parked = spatial.touched_by_any(boxes, parking, key).unionByName(spatial.held_by_any(boxes, bays, key)).unionByName(spatial.held_by_any(boxes, lots, key)).distinct().withColumn("_parked", F.lit(True))
-    on_road = spatial.held_by_any(boxes, streets, key).withColumn("_road", F.lit(True))
-    context = F.when(F.col("_parked"), "parking").when(F.col("_road"), "street").otherwise("other")
-    named = spatial.attach_area(boxes, parts, key, "part_id", "part_name")
-    return named.join(parked, key, "left").join(on_road, key, "left").withColumn("context", context).drop("_parked", "_road").withColumnRenamed("part_name", "street_part")
+    found = _attributes(boxes, key, streets, parking, parts, None, 0.0)
+    return boxes.join(found, key, "left").withColumn("context", _context()).drop("_street", "_parked", "_road")
 
 
 def enrich(boxes: DataFrame, districts: DataFrame, streets: DataFrame, parking: DataFrame, parts: DataFrame, *, key: str = "det_id") -> DataFrame:
-    """Detections with district, nearest street within two metres and context."""
-    with_district = spatial.attach_area(boxes, districts, key, "part_id", "district")
-    with_street = spatial.attach_nearest(with_district, streets, key, "street_id", "kadun_nimi", "kayttotarkoitus", within=STREET_DISTANCE)
-    return attach_context(with_street, parking, streets, parts, key=key)
+    """Detections with district, nearest street within two metres (``kadun_nimi``, ``kayttotarkoitus``), context and street part."""
+    found = _attributes(boxes, key, streets, parking, parts, districts, STREET_DISTANCE)
+    street = {c: F.col(f"_street.street_{c}") for c in ("kadun_nimi", "kayttotarkoitus")}
+    return boxes.join(found, key, "left").withColumns(street | {"context": _context()}).drop("_street", "_parked", "_road")

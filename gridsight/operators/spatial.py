@@ -5,6 +5,11 @@ are dealt to square buckets instead and joined on the bucket, so that Spark can
 hash, sort, broadcast or split the join as sizes demand; the exact predicate is
 checked on candidates only. Where both sides span buckets, a pair counts in the
 bucket that holds the lower left corner of the shared envelope, and so once.
+
+Defined results: null coordinates and null outlines meet nothing; a point that
+several areas hold keeps the first by position; repeated rows are kept on the left
+of an attachment; empty tables give empty results; other columns of the left side
+are kept, those of areas only if they are named.
 """
 
 from __future__ import annotations
@@ -13,8 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridsight.functions import geometry as G
+from gridsight.staging import staged as stored
 
 Envelope = tuple[Column, Column, Column, Column]
+#: Names of an area's envelope columns.
+ENVELOPE = ("a_min_e", "a_min_n", "a_max_e", "a_max_n")
 
 
 def _span(low: Column, high: Column, size: float) -> Column:
@@ -35,7 +43,7 @@ def with_polygon(areas: DataFrame, edges: Column) -> DataFrame:
 
 
 def area_envelope() -> Envelope:
-    return F.col("a_min_e"), F.col("a_min_n"), F.col("a_max_e"), F.col("a_max_n")
+    return tuple(F.col(c) for c in ENVELOPE)
 
 
 def point_candidates(points: DataFrame, areas: DataFrame, *, size: float, reach: float = 0.0) -> DataFrame:
@@ -52,31 +60,31 @@ def first_match(pairs: DataFrame, key: str, order: list[Column], *keep: str) ->
     return pairs.groupBy(key).agg(F.min_by(F.struct(*keep), ranked).alias("_m")).select(key, *[F.col(f"_m.{c}").alias(c) for c in keep])
 
 
-def attach_area(points: DataFrame, areas: DataFrame, key: str, position: str, *keep: str, size: float = 500.0) -> DataFrame:
+def attach_area(points: DataFrame, areas: DataFrame, key: str, position: str, *keep: str, size: float = 100.0) -> DataFrame:
     """Left join of the first area, by ``position``, that strictly holds a point; null where none does."""
-    pairs = point_candidates(points.select(key, "cx", "cy"), areas.select(position, *keep, "edges", "a_min_e", "a_min_n", "a_max_e", "a_max_n"), size=size)
+    pairs = point_candidates(points.select(key, "cx", "cy"), areas.select(position, *keep, "edges", *ENVELOPE), size=size)
     held = pairs.filter(G.inside_strict(F.col("cx"), F.col("cy"), F.col("edges")))
     return points.join(first_match(held, key, [F.col(position)], *keep), key, "left")
 
 
-def attach_nearest(points: DataFrame, areas: DataFrame, key: str, position: str, *keep: str, within: float, size: float = 500.0) -> DataFrame:
+def attach_nearest(points: DataFrame, areas: DataFrame, key: str, position: str, *keep: str, within: float, size: float = 100.0) -> DataFrame:
     """Left join of the nearest area within a distance; ties go to the first by ``position``."""
-    pairs = point_candidates(points.select(key, "cx", "cy"), areas.select(position, *keep, "edges", "a_min_e", "a_min_n", "a_max_e", "a_max_n"), size=size, reach=within)
+    pairs = point_candidates(points.select(key, "cx", "cy"), areas.select(position, *keep, "edges", *ENVELOPE), size=size, reach=within)
     near = pairs.withColumn("distance_m", G.distance(F.col("cx"), F.col("cy"), F.col("edges"))).filter(F.col("distance_m") <= within)
     return points.join(first_match(near, key, [F.col("distance_m"), F.col(position)], *keep, "distance_m"), key, "left")
 
 
-def held_by_any(points: DataFrame, areas: DataFrame, key: str, *, size: float = 500.0) -> DataFrame:
+def held_by_any(points: DataFrame, areas: DataFrame, key: str, *, size: float = 100.0) -> DataFrame:
     """Keys of points strictly inside some area."""
-    pairs = point_candidates(points.select(key, "cx", "cy"), areas.select("edges", "a_min_e", "a_min_n", "a_max_e", "a_max_n"), size=size)
+    pairs = point_candidates(points.select(key, "cx", "cy"), areas.select("edges", *ENVELOPE), size=size)
     return pairs.filter(G.inside_strict(F.col("cx"), F.col("cy"), F.col("edges"))).select(key).distinct()
 
 
-def touched_by_any(boxes: DataFrame, areas: DataFrame, key: str, *, size: float = 500.0) -> DataFrame:
+def touched_by_any(boxes: DataFrame, areas: DataFrame, key: str, *, size: float = 100.0) -> DataFrame:
     """Keys of boxes (corner columns) that share a point with some area."""
     own = boxes.select(key, G.edges_of(G.box_ring()).alias("own"), *[c.alias(n) for c, n in zip(G.envelope(), ("b0", "b1", "b2", "b3"), strict=True)])
     left = by_bucket(own, (F.col("b0"), F.col("b1"), F.col("b2"), F.col("b3")), size)
-    right = by_bucket(areas.select("edges", "a_min_e", "a_min_n", "a_max_e", "a_max_n"), area_envelope(), size)
+    right = by_bucket(areas.select("edges", *ENVELOPE), area_envelope(), size)
     near = (F.col("b0") <= F.col("a_max_e")) & (F.col("a_min_e") <= F.col("b2")) & (F.col("b1") <= F.col("a_max_n")) & (F.col("a_min_n") <= F.col("b3"))
     return left.join(right, ["bx", "by"]).filter(near).filter(G.intersects_touch(F.col("own"), F.col("edges"))).select(key).distinct()
 
