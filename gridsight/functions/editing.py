@@ -27,56 +27,65 @@ def clamp_length(value: Column) -> Column:
     return _clamped(value, LENGTHS)
 
 
-def _between(a: Column, b: Column) -> tuple[Column, Column, Column]:
-    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-    return dx, dy, F.sqrt(dx * dx + dy * dy)
+def _plus(p: Column, v: Column, times: Column | float = 1.0) -> Column:
+    return point(p["x"] + v["x"] * times, p["y"] + v["y"] * times)
+
+
+def _minus(p: Column, q: Column) -> Column:
+    return _plus(p, q, -1.0)
+
+
+def _size(v: Column) -> Column:
+    return F.sqrt(v["x"] * v["x"] + v["y"] * v["y"])
+
+
+def _mean(p: Column, q: Column) -> Column:
+    return _plus(p, _minus(q, p), 0.5)
+
+
+def _direction(v: Column) -> Column:
+    """A vector of length one; north where there is no direction."""
+    return F.when(_size(v) < POINT_M, point(F.lit(0.0), F.lit(1.0))).otherwise(point(v["x"] / _size(v), v["y"] / _size(v)))
 
 
 def box_of(nose: Column, tail: Column, width: Column) -> Column:
-    """Ring around a centreline; one without direction points north."""
-    dx, dy, length = _between(nose, tail)
-    ux = F.when(length < POINT_M, F.lit(0.0)).otherwise(dx / length)
-    uy = F.when(length < POINT_M, F.lit(1.0)).otherwise(dy / length)
-    hx, hy = -uy * width / 2, ux * width / 2
-    return F.array(point(nose["x"] + hx, nose["y"] + hy), point(tail["x"] + hx, tail["y"] + hy), point(tail["x"] - hx, tail["y"] - hy), point(nose["x"] - hx, nose["y"] - hy))
+    """Ring around a centreline: along its left side, back along its right."""
+    along = _direction(_minus(tail, nose))
+    left = point(-along["y"], along["x"])
+    return F.zip_with(F.array(nose, tail, tail, nose), F.array(*map(F.lit, (0.5, 0.5, -0.5, -0.5))), lambda end, side: _plus(end, left, side * width))
 
 
-def centreline_of(ring: Column) -> Column:
-    """``nose`` and ``tail``: middles of the short sides, the one farther north-east first."""
-    p = [F.get(ring, F.lit(k)) for k in range(4)]
+def _north_east(v: Column) -> Column:
+    """How far a step leads north-east, or east where that does not tell."""
+    both = v["x"] + v["y"]
+    return F.when(F.abs(both) > POINT_M, both).otherwise(v["x"] - v["y"])
 
-    def middle(i: int) -> Column:
-        a, b = p[i], p[(i + 1) % 4]
-        return point((a["x"] + b["x"]) / 2, (a["y"] + b["y"]) / 2)
 
-    short_first = _between(p[0], p[1])[2] <= _between(p[1], p[2])[2]
-    a = F.when(short_first, middle(0)).otherwise(middle(1))
-    b = F.when(short_first, middle(2)).otherwise(middle(3))
-    gap = (a["x"] + a["y"]) - (b["x"] + b["y"])
-    first = F.when(F.abs(gap) > POINT_M, gap > 0).otherwise(a["x"] - a["y"] > b["x"] - b["y"])
-    return F.struct(F.when(first, a).otherwise(b).alias("nose"), F.when(first, b).otherwise(a).alias("tail"))
+def centreline_of(ring: Column) -> Column:
+    """``nose`` and ``tail``: the middles of the short sides, the one farther north-east first."""
+    corner = [F.get(ring, F.lit(k)) for k in range(4)]
+    middles = F.array(*[_mean(corner[k], corner[(k + 1) % 4]) for k in range(4)])
+    short = F.when(_size(_minus(corner[1], corner[0])) <= _size(_minus(corner[2], corner[1])), 0).otherwise(1)
+    ends = F.slice(middles, short + 1, 3)
+    one, other = F.get(ends, F.lit(0)), F.get(ends, F.lit(2))
+    ahead = _north_east(_minus(one, other)) > 0
+    return F.struct(F.when(ahead, one).otherwise(other).alias("nose"), F.when(ahead, other).otherwise(one).alias("tail"))
 
 
 def lengthened(nose: Column, tail: Column, by: Column, width: Column) -> Column:
-    """A centreline made longer about its middle, within bounds and never shorter than the box is wide."""
-    dx, dy, length = _between(nose, tail)
-    half = F.greatest(clamp_length(length + by), width) / 2
-    mx, my = (nose["x"] + tail["x"]) / 2, (nose["y"] + tail["y"]) / 2
-    hx, hy = dx / F.nullif(length, F.lit(0.0)) * half, dy / F.nullif(length, F.lit(0.0)) * half
-    still = length < POINT_M
-    return F.struct(F.when(still, nose).otherwise(point(mx - hx, my - hy)).alias("nose"), F.when(still, tail).otherwise(point(mx + hx, my + hy)).alias("tail"))
+    """A centreline made longer about its middle, within bounds and never shorter than the box is wide; one without direction stays."""
+    step = _minus(tail, nose)
+    half = F.greatest(clamp_length(_size(step) + by), width) / 2
+    still, middle, along = _size(step) < POINT_M, _mean(nose, tail), _direction(step)
+    return F.struct(F.when(still, nose).otherwise(_plus(middle, along, -half)).alias("nose"), F.when(still, tail).otherwise(_plus(middle, along, half)).alias("tail"))
 
 
 def turned(nose: Column, tail: Column, degrees: Column) -> Column:
     """A centreline turned clockwise about its middle."""
-    sin, cos = F.sin(F.radians(degrees)), F.cos(F.radians(degrees))
-    mx, my = (nose["x"] + tail["x"]) / 2, (nose["y"] + tail["y"]) / 2
-
-    def turn(p: Column) -> Column:
-        x, y = p["x"] - mx, p["y"] - my
-        return point(mx + x * cos + y * sin, my - x * sin + y * cos)
-
-    return F.struct(turn(nose).alias("nose"), turn(tail).alias("tail"))
+    middle, sin, cos = _mean(nose, tail), F.sin(F.radians(degrees)), F.cos(F.radians(degrees))
+    arm = _minus(nose, middle)
+    swung = point(arm["x"] * cos + arm["y"] * sin, arm["y"] * cos - arm["x"] * sin)
+    return F.struct(_plus(middle, swung).alias("nose"), _minus(middle, swung).alias("tail"))
 
 
 def colour(status: Column, name: Column) -> Column:

@@ -64,22 +64,20 @@ def from_pixel(x: Column, y: Column, zoom: int) -> tuple[Column, Column]:
 
 
 def window_starts(low: Column, high: Column, size: int, step: int) -> Column:
-    """Origins of windows from ``low`` to ``high``; the last one ends flush with ``high``."""
-    regular = F.sequence(low, high - size, F.lit(step).cast("long"))
-    flush = F.when(F.element_at(regular, -1) + size < high, F.concat(regular, F.array(high - size))).otherwise(regular)
-    return F.when(high - low <= size, F.array(low)).otherwise(flush)
+    """First pixels of windows from ``low`` to ``high``: every ``step``, the last moved back to end flush, one where all fits."""
+    count = F.greatest(F.lit(1), F.ceil((high - low - size) / step) + 1)
+    return F.transform(F.sequence(F.lit(0).cast("long"), count.cast("long") - 1), lambda k: F.greatest(low, F.least(low + k * step, high - size)))
 
 
 def windows(areas: DataFrame, zoom: int, *, size: int = WINDOW_PX, overlap_m: float = OVERLAP_M) -> DataFrame:
     """``areas`` (with min_e, min_n, max_e, max_n) by window: adds the origins ``x`` and ``y`` in grid pixels."""
-    overlap = math.ceil(overlap_m / resolution(zoom))
-    if overlap >= size:
-        raise ValueError(f"an overlap of {overlap} px is not less than {size}")
-    left, top = to_pixel(F.col("min_e"), F.col("max_n"), zoom)
-    right, bottom = to_pixel(F.col("max_e"), F.col("min_n"), zoom)
-    xs = window_starts(F.floor(left).cast("long"), F.ceil(right).cast("long"), size, size - overlap)
-    ys = window_starts(F.floor(top).cast("long"), F.ceil(bottom).cast("long"), size, size - overlap)
-    return areas.withColumn("y", F.explode(ys)).withColumn("x", F.explode(xs))
+    step = size - math.ceil(overlap_m / resolution(zoom))
+    if step < 1:
+        raise ValueError(f"windows of {size} px cannot share {overlap_m} m at zoom {zoom}")
+    corners = to_pixel(F.col("min_e"), F.col("max_n"), zoom), to_pixel(F.col("max_e"), F.col("min_n"), zoom)
+    for name, low, high in zip(("x", "y"), *corners, strict=True):
+        areas = areas.withColumn(name, F.explode(window_starts(F.floor(low).cast("long"), F.ceil(high).cast("long"), size, step)))
+    return areas
 
 
 def tiles(areas: DataFrame, zoom: int) -> DataFrame:

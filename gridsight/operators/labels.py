@@ -1,4 +1,10 @@
-"""Human-reviewed labels: summaries, validation and measures of review."""
+"""Human-reviewed labels: summaries, validation and measures of review.
+
+Defined results: what a null status or class counts as is said at each function; null
+coordinates lie in no window and outside no area; rows in one place are ordered by
+their ids; repeated rows are counted each; empty tables give empty results; other
+columns are kept where rows are.
+"""
 
 from __future__ import annotations
 
@@ -120,13 +126,19 @@ def yolo_boxes(windows: DataFrame, boxes: DataFrame, *, size_px: int, metres_px:
     """Boxes of an area whose corners all lie in a window (closed), with corners as shares of the window.
 
     ``windows`` has ``aoi, x, y`` in grid pixels; ``boxes`` has ``aoi, det_id``, the class and corner columns.
+    Both meet in slots of a window's size: a box in that of its north-west corner, a window in the four it touches.
     """
-    pairs = windows.join(boxes, "aoi")
-    corners = {}
-    for k in range(4):
-        corners[f"u{k}"] = ((F.col(f"x{k}") - origin_e) / metres_px - F.col("x")) / size_px
-        corners[f"v{k}"] = ((origin_n - F.col(f"y{k}")) / metres_px - F.col("y")) / size_px
-    return pairs.withColumns(corners).filter(G.all_of([F.col(c).between(0.0, 1.0) for c in corners]))
+    pixel = {f"{a}{k}": (F.col(f"x{k}") - origin_e) / metres_px if a == "u" else (origin_n - F.col(f"y{k}")) / metres_px for k in range(4) for a in ("u", "v")}
+    placed = boxes.withColumns(pixel)
+    for axis, slot in (("u", "sx"), ("v", "sy")):
+        placed = placed.withColumn(slot, F.floor(F.least(*[F.col(f"{axis}{k}") for k in range(4)]) / size_px).cast("long"))
+    touched = windows
+    for axis, slot in (("x", "sx"), ("y", "sy")):
+        first = F.floor(F.col(axis) / size_px).cast("long")
+        touched = touched.withColumn(slot, F.explode(F.array(first, first + 1)))
+    pairs = touched.join(placed, ["aoi", "sx", "sy"]).drop("sx", "sy")
+    shares = {name: (F.col(name) - F.col("x" if name[0] == "u" else "y")) / size_px for name in pixel}
+    return pairs.withColumns(shares).filter(G.all_of([F.col(c).between(0.0, 1.0) for c in shares]))
 
 
 def yolo_line(prefix: str = "") -> Column:

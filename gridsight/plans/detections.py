@@ -9,7 +9,7 @@ from gridsight.functions import geometry as G
 from gridsight.functions import grid
 from gridsight.operators import enrich as enrichment
 from gridsight.operators import evaluate, nms, spatial
-from gridsight.plans.registry import CX, CY, LENGTH, SIDE0, SIDE1, WIDTH, nearest, query
+from gridsight.plans.registry import CX, CY, LENGTH, SIDE0, SIDE1, WIDTH, WINDOWS_SQL, nearest, query
 
 CENSUS = 0.77
 
@@ -83,10 +83,7 @@ def tiles_covering_aoi(t):
     return grid.tiles(t("fx_region_part"), 14).select("part_id", "tile_col", "tile_row")
 
 
-@query("""WITH p AS (SELECT part_id, CAST(floor((min_e - 24451424) / 0.125) AS BIGINT) AS x0, CAST(ceil((max_e - 24451424) / 0.125) AS BIGINT) AS x1, CAST(floor((8388608 - max_n) / 0.125) AS BIGINT) AS y0, CAST(ceil((8388608 - min_n) / 0.125) AS BIGINT) AS y1 FROM fx_region_part),
-xs AS (SELECT part_id, unnest(CASE WHEN x1 - x0 <= 1024 THEN [x0] ELSE list_distinct(list_append(range(x0, x1 - 1024 + 1, 784), x1 - 1024)) END) AS x FROM p),
-ys AS (SELECT part_id, unnest(CASE WHEN y1 - y0 <= 1024 THEN [y0] ELSE list_distinct(list_append(range(y0, y1 - 1024 + 1, 784), y1 - 1024)) END) AS y FROM p)
-SELECT part_id, x, y FROM xs JOIN ys USING (part_id)""", "fx_region_part")
+@query(f"WITH {WINDOWS_SQL} SELECT part_id, x, y FROM xs JOIN ys USING (part_id)", "fx_region_part")
 def windows_covering_aoi(t):
     """Overlapping windows, the last of each axis flush with the end."""
     return grid.windows(t("fx_region_part"), 16).select("part_id", "x", "y")
@@ -245,12 +242,11 @@ def sweep_merged(t):
     return nms.merge(_ids(t.stored_boxes())).filter(G.length_m() >= 4).select(F.col("id").alias("det_id"))
 
 
-@query(f"""WITH found AS (SELECT * FROM fx_detection WHERE det_id % 2 = 0), truth AS (SELECT * FROM fx_label WHERE det_id % 3 = 0 AND status IN ('confirmed', 'added')),
-{overlap_sql("found", "truth", "true")} SELECT det_id FROM found WHERE det_id NOT IN (SELECT a_id FROM ious WHERE iou > 0.3)""", "fx_label")
+@query(f"""WITH truth AS (SELECT * FROM fx_label WHERE status IN ('confirmed', 'added')),
+{overlap_sql("fx_detection", "truth", "true")} SELECT det_id FROM fx_detection WHERE det_id NOT IN (SELECT a_id FROM ious WHERE iou > 0.3)""", "fx_label")
 def unexplained_detections(t):
     """Found boxes that no verified label explains."""
-    labels = t("fx_label").filter(F.col("det_id") % 3 == 0)
-    return evaluate.unexplained(_ids(t.stored_boxes().filter(F.col("det_id") % 2 == 0)), _ids(labels)).select(F.col("id").alias("det_id"))
+    return evaluate.unexplained(_ids(t.stored_boxes()), _ids(t("fx_label"))).select(F.col("id").alias("det_id"))
 
 
 def _series(name: str, terms: tuple[float, ...], f: str, g: str, xi: str, eta: str) -> str:

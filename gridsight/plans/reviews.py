@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from gridsight.functions import geometry as G
 from gridsight.functions import grid
 from gridsight.operators import evaluate, labels, manifest, mining
-from gridsight.plans.registry import CX, CY, LENGTH, nearest, query
+from gridsight.operators.spatial import ENVELOPE
+from gridsight.plans.registry import CX, CY, LENGTH, WINDOWS_SQL, nearest, query
 
 _OPERATING = 0.77
 
@@ -66,13 +67,12 @@ def staged_partitions(t):
     return labels.stage(t.boxes().withColumn("aoi", area)).groupBy("aoi", "status", "class").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH w AS (SELECT part_id, unnest(range(CAST(floor((min_e - 24451424) / 0.125) AS BIGINT), CAST(floor((min_e - 24451424) / 0.125) AS BIGINT) + 2353, 784)) AS x, CAST(floor((8388608 - max_n) / 0.125) AS BIGINT) AS y FROM fx_region_part),
-p AS (SELECT det_id, x, y, class, {', '.join(f'((x{k} - 24451424) / 0.125 - x) / 1024 AS u{k}, ((8388608 - y{k}) / 0.125 - y) / 1024 AS v{k}' for k in range(4))} FROM fx_label JOIN w ON part_id = det_id % 25 WHERE status IN ('confirmed', 'added') AND class <> '')
-SELECT det_id, x, y, CASE class WHEN 'truck' THEN 0 WHEN 'bus' THEN 1 WHEN 'van' THEN 2 ELSE 3 END AS class_index, {nearest('u0', 1000000)} AS u0, {nearest('v2', 1000000)} AS v2 FROM p WHERE {' AND '.join(f'{a}{k} BETWEEN 0 AND 1' for a in 'uv' for k in range(4))}""", "fx_label", "fx_region_part")
+@query(f"""WITH {WINDOWS_SQL}, w AS (SELECT part_id, x, y FROM xs JOIN ys USING (part_id)),
+placed AS (SELECT det_id, x, y, class, {', '.join(f'((x{k} - 24451424) / 0.125 - x) / 1024 AS u{k}, ((8388608 - y{k}) / 0.125 - y) / 1024 AS v{k}' for k in range(4))} FROM fx_label JOIN w ON part_id = det_id % 25 WHERE status IN ('confirmed', 'added') AND class <> '')
+SELECT det_id, x, y, CASE class WHEN 'truck' THEN 0 WHEN 'bus' THEN 1 WHEN 'van' THEN 2 ELSE 3 END AS class_index, {nearest('u0', 1000000)} AS u0, {nearest('v2', 1000000)} AS v2 FROM placed WHERE {' AND '.join(f'{a}{k} BETWEEN 0 AND 1' for a in 'uv' for k in range(4))}""", "fx_label", "fx_region_part")
 def yolo_lines(t):
-    """Verified labels inside four windows along the north of their area."""
-    x0, y0 = F.floor((F.col("min_e") - 24451424) / 0.125).cast("long"), F.floor((8388608 - F.col("max_n")) / 0.125).cast("long")
-    windows = t("fx_region_part").select(F.col("part_id").alias("aoi"), F.explode(F.sequence(x0, x0 + 2352, F.lit(784).cast("long"))).alias("x"), y0.alias("y"))
+    """Verified labels in the windows that cover their area."""
+    windows = grid.windows(t("fx_region_part"), 16).select(F.col("part_id").alias("aoi"), "x", "y")
     boxes = labels.verified(t("fx_label")).withColumn("aoi", F.col("det_id") % 25)
     held = labels.yolo_boxes(windows, boxes, size_px=1024, metres_px=0.125, origin_e=24451424.0, origin_n=8388608.0)
     return held.select("det_id", "x", "y", labels.class_index(F.col("class")).alias("class_index"), G.scaled(F.col("u0"), 1000000).alias("u0"), G.scaled(F.col("v2"), 1000000).alias("v2"))
@@ -92,55 +92,50 @@ def operating_point(t):
     return evaluate.operating_point(curve).select("i")
 
 
-_CELLS = f"""mine AS (SELECT col, row, concat('mine-', col, '-', row) AS name FROM (SELECT DISTINCT CAST(floor({CX} / 300) AS BIGINT) AS col, CAST(floor({CY} / 300) AS BIGINT) AS row FROM fx_detection)),
-inside AS (SELECT concat('mine-', CAST(floor({CX} / 300) AS BIGINT), '-', CAST(floor({CY} / 300) AS BIGINT)) AS name, confidence AS c, {LENGTH} AS l FROM fx_detection WHERE det_id % 3 <> 0),
-found AS (SELECT name, count(*) AS n, count(*) FILTER (WHERE c BETWEEN {_OPERATING - 0.1!r} AND {_OPERATING + 0.1!r}) AS n_near, count(*) FILTER (WHERE l BETWEEN 4 AND 8) AS n_size, avg(c) AS mean_c, max(c) AS top_c FROM inside GROUP BY name),
-sig AS (SELECT col, row, m.name, coalesce(n, 0) AS n, coalesce(n_near, 0) AS n_near, coalesce(n_size, 0) AS n_size, coalesce(mean_c, 0) AS mean_c, coalesce(top_c, 0) AS top_c FROM mine m LEFT JOIN found USING (name)),
-strat AS (SELECT *, CASE WHEN n = 0 THEN 'quiet' WHEN n_near > 0 THEN 'near_threshold' WHEN n_size > 0 THEN 'size_boundary' WHEN n >= 5 THEN 'dense' ELSE 'quiet' END AS stratum FROM sig)"""
-
-
-def _mining_boxes(t):
-    boxes = t.boxes().withColumn("length_m", G.length_m()).withColumn("col", F.floor(F.col("cx") / 300).cast("long")).withColumn("row", F.floor(F.col("cy") / 300).cast("long"))
-    return boxes.withColumn("name", _mining_name())
+_SHARE = "sum((least(max_e, (col + 1) * 300) - greatest(min_e, col * 300)) * (least(max_n, (row + 1) * 300) - greatest(min_n, row * 300))) / 90000"
+_COVER = f"""cover AS (SELECT col, row, {_SHARE} AS share FROM (SELECT *, unnest(range(CAST(floor(min_n / 300) AS BIGINT), CAST(ceil(max_n / 300) AS BIGINT))) AS row FROM (SELECT *, unnest(range(CAST(floor(min_e / 300) AS BIGINT), CAST(ceil(max_e / 300) AS BIGINT))) AS col FROM fx_region_part)) GROUP BY col, row)"""
+_CELLS = f"""{_COVER}, boxed AS (SELECT CAST(floor({CX} / 300) AS BIGINT) AS col, CAST(floor({CY} / 300) AS BIGINT) AS row, confidence AS c, {LENGTH} AS l FROM fx_detection),
+mine AS (SELECT col, row, concat('mine-', col, '-', row) AS name, coalesce({nearest('share', 10000)}, 0) AS coverage FROM (SELECT col, row FROM boxed UNION SELECT col, row FROM cover) LEFT JOIN cover USING (col, row)),
+found AS (SELECT col, row, count(*) AS n, count(*) FILTER (WHERE c BETWEEN {_OPERATING - 0.1!r} AND {_OPERATING + 0.1!r}) AS n_near, count(*) FILTER (WHERE l BETWEEN 4 AND 8) AS n_size, avg(c) AS mean_c, max(c) AS top_c FROM boxed GROUP BY col, row),
+sig AS (SELECT col, row, name, coverage, coalesce(n, 0) AS n, coalesce(n_near, 0) AS n_near, coalesce(n_size, 0) AS n_size, coalesce(mean_c, 0) AS mean_c, coalesce(top_c, 0) AS top_c FROM mine LEFT JOIN found USING (col, row)),
+strat AS (SELECT *, CASE WHEN n = 0 THEN 'quiet' WHEN n_near > 0 THEN 'near_threshold' WHEN n_size > 0 THEN 'size_boundary' WHEN n >= 5 THEN 'dense' ELSE 'quiet' END AS stratum FROM sig),
+grade AS (SELECT *, CASE stratum WHEN 'near_threshold' THEN n_near WHEN 'size_boundary' THEN n_size WHEN 'dense' THEN n ELSE coverage END AS signal, {nearest('mean_c', 10000)} AS mean_s, col * 300 + 150.0 AS e, row * 300 + 150.0 AS nn FROM strat WHERE n <= 80)"""
 
 
-def _mining_name():
-    return F.concat(F.lit("mine-"), F.col("col").cast("string"), F.lit("-"), F.col("row").cast("string"))
+def _covered(t):
+    cells = grid.cells(t("fx_region_part"), 300.0).select("cell_col", "cell_row").distinct()
+    return mining.coverage(cells, t("fx_region_part"))
 
 
 def _mining_cells(t):
-    boxes = _mining_boxes(t)
-    cells = boxes.select("name", "col", "row").distinct()
-    return mining.signals(cells, boxes.filter(F.col("det_id") % 3 != 0), "name", operating=_OPERATING)
+    """Signals of all detections in their cells and in those of the parts, where quiet cells are; with the share that parts cover."""
+    boxes = t.boxes().withColumn("length_m", G.length_m()).withColumn("col", F.floor(F.col("cx") / 300).cast("long")).withColumn("row", F.floor(F.col("cy") / 300).cast("long"))
+    covered = _covered(t).select(F.col("cell_col").alias("col"), F.col("cell_row").alias("row"), G.scaled(F.col("coverage"), 10000).alias("coverage"))
+    cells = boxes.select("col", "row").union(covered.select("col", "row")).distinct().join(covered, ["col", "row"], "left").fillna(0, ["coverage"])
+    name = F.concat(F.lit("mine-"), F.col("col").cast("string"), F.lit("-"), F.col("row").cast("string"))
+    cells, boxes = (x.withColumn("name", name) for x in (cells, boxes))
+    return mining.signals(cells, boxes, "name", operating=_OPERATING)
 
 
-@query(f"WITH {_CELLS} SELECT name, n, n_near, n_size, {nearest('mean_c', 10000)} AS mean_c, {nearest('top_c', 10000)} AS top_c FROM sig", "fx_detection")
+@query(f"WITH {_CELLS} SELECT name, n, n_near, n_size, {nearest('mean_c', 10000)} AS mean_c, {nearest('top_c', 10000)} AS top_c FROM sig", "fx_detection", "fx_region_part")
 def cell_signals(t):
     return _mining_cells(t).select("name", "n", "n_near", "n_size", G.scaled(F.col("mean_confidence"), 10000).alias("mean_c"), G.scaled(F.col("top_confidence"), 10000).alias("top_c"))
 
 
-@query(f"WITH {_CELLS} SELECT stratum, count(*) AS cells FROM strat GROUP BY stratum", "fx_detection")
+@query(f"WITH {_CELLS} SELECT stratum, count(*) AS cells FROM strat GROUP BY stratum", "fx_detection", "fx_region_part")
 def strata(t):
     return _mining_cells(t).withColumn("stratum", mining.stratum()).groupBy("stratum").agg(F.count(F.lit(1)).alias("cells"))
 
 
-def _whole_cells(t):
-    """Signals of all detections in their cells and in those of the parts, where quiet cells are."""
-    boxes = _mining_boxes(t)
-    parts = grid.cells(t("fx_region_part"), 300.0).select(F.col("cell_col").alias("col"), F.col("cell_row").alias("row"))
-    cells = boxes.select("col", "row").union(parts).distinct().select(_mining_name().alias("name"), "col", "row")
-    return mining.signals(cells, boxes, "name", operating=_OPERATING)
-
-
-def _ranked(cells):
+def _gradable(t):
     # Means are rounded, so that places do not hang on the order in which doubles are summed.
-    cells = cells.withColumn("coverage", (F.col("col") % 10) / 10).withColumn("mean_confidence", G.scaled(F.col("mean_confidence"), 10000))
-    return mining.ranked(cells)
+    centres = {"e": F.col("col") * 300 + 150.0, "n_": F.col("row") * 300 + 150.0}
+    return _mining_cells(t).withColumns({"mean_confidence": G.scaled(F.col("mean_confidence"), 10000)} | centres)
 
 
-@query(f"""WITH {_CELLS} SELECT name, stratum, row_number() OVER (PARTITION BY stratum ORDER BY CASE stratum WHEN 'near_threshold' THEN n_near WHEN 'size_boundary' THEN n_size WHEN 'dense' THEN n ELSE (col % 10) / 10.0::DOUBLE END DESC, {nearest('mean_c', 10000)} DESC, name DESC) AS place FROM strat WHERE n <= 80""", "fx_detection")
+@query(f"WITH {_CELLS} SELECT name, stratum, row_number() OVER (PARTITION BY stratum ORDER BY signal DESC, mean_s DESC, name DESC) AS place FROM grade", "fx_detection", "fx_region_part")
 def ranked_strata(t):
-    return _ranked(_mining_cells(t)).select("name", "stratum", "place")
+    return mining.ranked(_gradable(t)).select("name", "stratum", "place")
 
 
 @query("""WITH s(stratum, share, ord) AS (VALUES ('near_threshold', 40, 0), ('size_boundary', 25, 1), ('dense', 20, 2), ('quiet', 15, 3)), c AS (SELECT unnest([4, 7, 12, 13]) AS wanted),
@@ -151,27 +146,28 @@ def quota_slots(t):
     return t.spark.createDataFrame(rows, "wanted int, stratum string, slots long")
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {_CELLS}, places AS (SELECT name, stratum, e, nn, row_number() OVER (ORDER BY signal DESC, mean_s DESC, name DESC) AS place FROM grade),
+turns(stratum, turn, upto) AS (VALUES ('near_threshold', 0, 5), ('size_boundary', 1, 8), ('dense', 2, 10), ('quiet', 3, 12)),
+entries AS (SELECT p.*, turn, upto FROM places p JOIN turns USING (stratum) UNION ALL SELECT *, 4, 12 FROM places),
+picks AS (SELECT 0 AS pick, 0 AS turn, NULL::VARCHAR AS name, NULL::VARCHAR AS stratum, CAST([] AS STRUCT(e DOUBLE, nn DOUBLE)[]) AS held
+UNION ALL SELECT pick + 1, next.turn, next.name, next.stratum, list_append(held, {{'e': next.e, 'nn': next.nn}}) FROM (
+  SELECT pick, held, arg_min({{'turn': c.turn, 'name': c.name, 'stratum': c.stratum, 'e': c.e, 'nn': c.nn}}, (c.turn, place)) AS next FROM picks k JOIN entries c ON c.turn >= k.turn AND k.pick < c.upto
+  WHERE len(list_filter(held, lambda h: (h.e - c.e) * (h.e - c.e) + (h.nn - c.nn) * (h.nn - c.nn) < 360000)) = 0 GROUP BY pick, held))
+SELECT CAST(pick AS BIGINT) AS pick, name, stratum FROM picks WHERE pick > 0""", "fx_detection", "fx_region_part")
 def proposals(t):
     """Twelve spaced cells by quota."""
-    cells = _ranked(_whole_cells(t)).withColumn("e", F.col("col") * 300 + 150.0).withColumn("n_", F.col("row") * 300 + 150.0)
-    return mining.proposals(cells, 12)
+    return mining.proposals(mining.graded(_gradable(t)), 12)
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {_CELLS}, spots AS (SELECT name, col, row, coverage, col * 300 + 150.0 AS e, row * 300 + 150.0 AS nn, row_number() OVER (ORDER BY col, row) AS place FROM sig),
+picks AS (SELECT 1 AS pick, name, [{{'e': e, 'nn': nn, 'place': place}}] AS held FROM spots WHERE place = 1
+UNION ALL SELECT pick + 1, next.name, list_append(held, {{'e': next.e, 'nn': next.nn, 'place': next.place}}) FROM (
+  SELECT pick, held, arg_min({{'name': c.name, 'e': c.e, 'nn': c.nn, 'place': c.place}}, (-list_min(list_transform(held, lambda h: sqrt((c.e - h.e) * (c.e - h.e) + (c.nn - h.nn) * (c.nn - h.nn)))), -coverage, c.place)) AS next
+  FROM picks JOIN spots c ON pick < 8 WHERE len(list_filter(held, lambda h: h.place = c.place)) = 0 GROUP BY pick, held))
+SELECT CAST(pick AS BIGINT) AS pick, name FROM picks""", "fx_detection", "fx_region_part")
 def dispersed_pool(t):
     """Eight cells, each as far as can be from those before."""
-    cells = _mining_cells(t).withColumn("coverage", (F.col("col") % 10) / 10).withColumn("e", F.col("col") * 300 + 150.0).withColumn("n_", F.col("row") * 300 + 150.0)
-    return mining.dispersed(cells, 8)
-
-
-_SHARE = "sum((least(max_e, (col + 1) * 300) - greatest(min_e, col * 300)) * (least(max_n, (row + 1) * 300) - greatest(min_n, row * 300))) / 90000"
-_COVER = f"""cover AS (SELECT col, row, {_SHARE} AS share FROM (SELECT *, unnest(range(CAST(floor(min_n / 300) AS BIGINT), CAST(ceil(max_n / 300) AS BIGINT))) AS row FROM (SELECT *, unnest(range(CAST(floor(min_e / 300) AS BIGINT), CAST(ceil(max_e / 300) AS BIGINT))) AS col FROM fx_region_part)) GROUP BY col, row)"""
-
-
-def _covered(t):
-    cells = grid.cells(t("fx_region_part"), 300.0).select("cell_col", "cell_row").distinct()
-    return mining.coverage(cells, t("fx_region_part"))
+    return mining.dispersed(_gradable(t), 8)
 
 
 @query(f"WITH {_COVER} SELECT col AS cell_col, row AS cell_row, {nearest('share', 10000)} AS coverage FROM cover WHERE share >= 0.15", "fx_region_part")
@@ -180,11 +176,11 @@ def coverage_cells(t):
     return _covered(t).filter(F.col("coverage") >= mining.MIN_COVERAGE).select("cell_col", "cell_row", G.scaled(F.col("coverage"), 10000).alias("coverage"))
 
 
-@query(f"""WITH {_COVER} SELECT col AS cell_col, row AS cell_row FROM cover WHERE share >= 0.15 AND NOT EXISTS (SELECT 1 FROM fx_parking p WHERE sqrt(pow(greatest(0, col * 300 - p.max_e, p.min_e - (col + 1) * 300), 2) + pow(greatest(0, row * 300 - p.max_n, p.min_n - (row + 1) * 300), 2)) <= 50 AND p.parking_id % 20 = 0)""", "fx_region_part", "fx_parking")
+@query(f"""WITH {_COVER} SELECT col AS cell_col, row AS cell_row FROM cover WHERE share >= 0.15 AND NOT EXISTS (SELECT 1 FROM fx_street p WHERE sqrt(pow(greatest(0, col * 300 - p.max_e, p.min_e - (col + 1) * 300), 2) + pow(greatest(0, row * 300 - p.max_n, p.min_n - (row + 1) * 300), 2)) <= 50)""", "fx_region_part", "fx_street")
 def exclusion(t):
-    """Covered cells away from areas labelled already."""
+    """Covered cells away from all streets, which stand for the areas labelled already."""
     cells = _covered(t).filter(F.col("coverage") >= mining.MIN_COVERAGE)
-    existing = t.rectangles("fx_parking").filter(F.col("parking_id") % 20 == 0).select("a_min_e", "a_min_n", "a_max_e", "a_max_n")
+    existing = t.rectangles("fx_street").select(*ENVELOPE)
     return mining.exclude_near(cells, existing).select("cell_col", "cell_row")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -36,32 +37,44 @@ def tile_path(root: str, layer: str, zoom: int, col: int, row: int) -> Path:
     return Path(root) / layer / str(zoom) / str(col) / f"{row}.jpg"
 
 
-def wait_before(attempt: int, retry_after: str | None = None) -> float:
-    """Seconds before another attempt: doubling, or what the service asks for if that is longer, within a bound."""
+def pause(attempt: int, asked: str | None = None) -> float:
+    """Seconds between attempts: doubling; what the service asks for counts if it is a number and longer, within a bound."""
     usual = float(2**attempt)
-    try:
-        return usual if retry_after is None else min(max(float(retry_after), usual), LONGEST_WAIT)
-    except ValueError:
-        return usual
+    number = asked is not None and re.fullmatch(r"\s*[0-9]+([.][0-9]*)?\s*", asked)
+    return min(max(float(asked), usual), LONGEST_WAIT) if number else usual
 
 
-def get_tile(fetch: Callable[[dict], tuple[int, bytes, str | None]], request: dict, *, sleep: Callable[[float], None] = time.sleep) -> bytes:
-    """A JPEG by ``fetch`` (status, body, Retry-After). Client errors but 429 end it; other faults are tried again."""
-    fault = "not tried"
-    for attempt in range(ATTEMPTS):
-        retry_after = None
+def verdict(status: int, body: bytes, accept: Callable[[bytes], bool]) -> str:
+    """What an answer means: ``take`` it, ``refuse`` to ask again, or ask ``again``."""
+    if status == 200:
+        return "take" if accept(body) else "again"
+    return "refuse" if status // 100 == 4 and status != 429 else "again"
+
+
+def ask(send: Callable[[], tuple[int, bytes, str | None]], accept: Callable[[bytes], bool], *, sleep: Callable[[float], None] = time.sleep) -> bytes:
+    """The first answer (status, body, Retry-After) that is accepted, of ``ATTEMPTS``; a refusal is a LookupError, the rest an OSError."""
+    faults: list[str] = []
+    while len(faults) < ATTEMPTS:
+        asked = None
         try:
-            status, body, retry_after = fetch(request)
-            if status == 200 and body.startswith(JPEG_START):
-                return body
-            fault = f"status {status}" if status != 200 else "not an image"
-            if 400 <= status < 500 and status != 429:
-                raise LookupError(fault)
+            status, body, asked = send()
         except OSError as error:
-            fault = str(error)
-        if attempt + 1 < ATTEMPTS:
-            sleep(wait_before(attempt, retry_after))
-    raise OSError(fault)
+            faults.append(str(error))
+        else:
+            match verdict(status, body, accept):
+                case "take":
+                    return body
+                case "refuse":
+                    raise LookupError(f"status {status}")
+            faults.append(f"status {status}" if status != 200 else "unusable answer")
+        if len(faults) < ATTEMPTS:
+            sleep(pause(len(faults) - 1, asked))
+    raise OSError(faults[-1])
+
+
+def get_tile(fetch: Callable[[dict], tuple[int, bytes, str | None]], request: dict, *, sleep: Callable[[float], None] = time.sleep) -> bytes:
+    """A JPEG by ``fetch``."""
+    return ask(lambda: fetch(request), lambda body: body.startswith(JPEG_START), sleep=sleep)
 
 
 def fetch_tiles(tiles: DataFrame, root: str, layer: str, fetch: Callable[[dict], tuple[int, bytes, str | None]]) -> DataFrame:

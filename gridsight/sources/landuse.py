@@ -21,11 +21,13 @@ ELEMENTS = "elements array<struct<type: string, id: long, tags: map<string, stri
 
 
 def reference(municipality: str) -> str:
-    if municipality not in MUNICIPALITIES:
-        raise ValueError(f"unknown municipality {municipality}; known: {', '.join(MUNICIPALITIES)}")
-    if municipality not in SUPPORTED:
-        raise ValueError(f"{municipality} has no imagery yet")
-    return MUNICIPALITIES[municipality]
+    """The number of a municipality that can be used."""
+    usable = {name: MUNICIPALITIES[name] for name in SUPPORTED}
+    try:
+        return usable[municipality]
+    except KeyError:
+        planned = ", ".join(sorted(set(MUNICIPALITIES) - set(usable)))
+        raise ValueError(f"no land use for {municipality!r}: there is {', '.join(usable)}; without imagery so far: {planned}") from None
 
 
 def query_text(municipality: str, profile: str = "industrial") -> str:

@@ -39,15 +39,12 @@ def test_query_against_sql(spark, small, con, name):
     assert sorted(repr([_plain(r[c]) for c in columns]) for r in got.collect()) == sorted(repr([_plain(r[k]) for k in order]) for r in want.fetchall())
 
 
-def test_proposals_count_every_detection(spark, small):
+def test_mining_counts_every_detection(spark, small):
     t = Tables(spark, small)
-    cells = {r["name"]: r for r in reviews._whole_cells(t).collect()}
+    cells = {r["name"]: r for r in reviews._mining_cells(t).collect()}
     count = Counter(f"mine-{int(r['cx'] // 300)}-{int(r['cy'] // 300)}" for r in t.boxes().select("cx", "cy").collect())
     assert {k: r["n"] for k, r in cells.items() if r["n"]} == count
     assert all(r["n"] == 0 for k, r in cells.items() if k not in count)
-    got = catalog.QUERIES["proposals"](spark, small).collect()
-    want = mining.proposals(reviews._ranked(reviews._whole_cells(t)).withColumn("e", F.col("col") * 300 + 150.0).withColumn("n_", F.col("row") * 300 + 150.0), 12)
-    assert len(got) == 12 and sorted(got) == sorted(want.collect()) and all(cells[r["name"]]["n"] <= mining.MAX_DETECTIONS for r in got)
 
 
 def test_entry(spark):

@@ -109,10 +109,38 @@ def test_proposals_keep_their_distance(spark):
     cells = spark.createDataFrame([(n, c, r, k) for n, c, r, k in rows], "name string, col long, row long, n_near long")
     n = F.when(F.col("name") == "quiet", 0).otherwise(6).cast("long")
     cells = cells.withColumns({"n": n, "n_size": (F.col("name") == "size").cast("long"), "mean_confidence": F.lit(0.5), "coverage": F.lit(0.4), "e": F.col("col") * 300 + 150.0, "n_": F.col("row") * 300 + 150.0})
-    got = [(r["name"], r["stratum"]) for r in mining.proposals(mining.ranked(cells), 4).orderBy("pick").collect()]
+    got = [(r["name"], r["stratum"]) for r in mining.proposals(mining.graded(cells), 4).orderBy("pick").collect()]
     assert got == [("near_dup", "near_threshold"), ("size", "size_boundary"), ("dense", "dense"), ("quiet", "quiet")]
 
 
+def _greedy(rows, count):
+    """Proposals by a plain pass over one list of turns."""
+    order = sorted(rows, key=lambda r: (r["signal"], r["mean_confidence"], r["name"]), reverse=True)
+    taken, total = [], 0
+    for name, slots in [*mining.quotas(count).items(), (None, 0)]:
+        total += slots
+        for r in order:
+            free = all((r["e"] - t["e"]) ** 2 + (r["n_"] - t["n_"]) ** 2 >= 600**2 and r["name"] != t["name"] for t in taken)
+            if len(taken) < (total if name else count) and name in (None, r["stratum"]) and free:
+                taken.append(r)
+    return [(k + 1, r["name"], r["stratum"]) for k, r in enumerate(taken)]
+
+
+def test_proposals_against_a_plain_pass(spark):
+    draw = random.Random(8)
+    for size, count in ((400, 12), (40, 20), (3, 5)):
+        rows = [(f"c{k}", draw.randrange(20), draw.randrange(20), draw.choice([0, 0, 3, 9]), draw.choice([0, 0, 2]), draw.choice([0, 0, 1]), draw.randrange(5) / 5) for k in range(size)]
+        cells = spark.createDataFrame(rows, "name string, col long, row long, n long, n_near long, n_size long, mean_confidence double")
+        graded = mining.graded(cells.withColumns({"coverage": F.col("mean_confidence"), "e": F.col("col") * 300 + 150.0, "n_": F.col("row") * 300 + 150.0}))
+        got = sorted(tuple(r) for r in mining.proposals(graded, count).collect())
+        assert got == _greedy(graded.collect(), count)
+
+
+def test_proposals_of_nothing(spark):
+    cells = spark.createDataFrame([], "name string, col long, row long, n long, n_near long, n_size long, mean_confidence double, coverage double, e double, n_ double")
+    assert mining.proposals(mining.graded(cells), 4).collect() == []
+
+
 def test_dispersed_pool(spark):
     cells = spark.createDataFrame([(f"c{c}-{r}", c, r, c * 300.0, r * 300.0, (c + r) / 20) for c in range(10) for r in range(10)], "name string, col long, row long, e double, n_ double, coverage double")
     first = [r["name"] for r in mining.dispersed(cells, 3).orderBy("pick").collect()]

@@ -80,7 +80,7 @@ def test_tiles_are_tried_again():
     assert len(calls) == 1
     with pytest.raises(OSError):
         imagery.get_tile(lambda _: (429, b"", "soon"), {}, sleep=waits.append)
-    assert imagery.wait_before(1, "900") == 30 and imagery.wait_before(2, "bad") == 4
+    assert imagery.pause(1, "900") == 30 and imagery.pause(2, "bad") == 4
     assert imagery.layer_of(2025).startswith("Ortoilmakuva")
     with pytest.raises(ValueError):
         imagery.layer_of(2022)
