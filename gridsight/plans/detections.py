@@ -8,26 +8,22 @@ from gridsight.functions import crs
 from gridsight.functions import geometry as G
 from gridsight.functions import grid
 from gridsight.operators import enrich as enrichment
-from gridsight.operators import evaluate, nms, spatial
+from gridsight.operators import density, evaluate, nms, polygons, spatial
 from gridsight.plans.registry import CX, CY, LENGTH, SIDE0, SIDE1, WIDTH, WINDOWS_SQL, nearest, query
 
-CENSUS = 0.77
+CENSUS = density.CENSUS_CONFIDENCE
 
 
 @query(f"SELECT CAST(floor({CX} / 250) AS BIGINT) AS cell_col, CAST(floor({CY} / 250) AS BIGINT) AS cell_row, count(*) AS trucks FROM fx_detection WHERE label = 'truck' AND confidence >= {CENSUS} AND {CX} / 250 <> floor({CX} / 250) AND {CY} / 250 <> floor({CY} / 250) GROUP BY ALL", "fx_detection")
 def truck_grid(t):
     """Trucks by 250 m cell; a centre on a cell's edge is in none."""
-    trucks = t.boxes().filter((F.col("label") == "truck") & (F.col("confidence") >= CENSUS))
-    inside = (F.col("cx") / 250 != F.floor(F.col("cx") / 250)) & (F.col("cy") / 250 != F.floor(F.col("cy") / 250))
-    col, row = grid.cell_of(F.col("cx"), F.col("cy"), 250.0)
-    return trucks.filter(inside).groupBy(col.alias("cell_col"), row.alias("cell_row")).agg(F.count(F.lit(1)).alias("trucks"))
+    return density.by_cell(density.counted(t.boxes())).withColumnRenamed("n", "trucks")
 
 
 @query(f"SELECT det_id, {nearest(CX)} AS e_mm, {nearest(CY)} AS n_mm, confidence, CAST({CENSUS} AS DOUBLE) AS min_confidence FROM fx_detection WHERE label = 'truck' AND confidence >= {CENSUS}", "fx_detection")
 def truck_points(t):
     """Centres of trucks with the threshold they passed."""
-    trucks = t.boxes().filter((F.col("label") == "truck") & (F.col("confidence") >= CENSUS))
-    return trucks.select("det_id", G.scaled(F.col("cx")).alias("e_mm"), G.scaled(F.col("cy")).alias("n_mm"), "confidence", F.lit(CENSUS).alias("min_confidence"))
+    return density.counted(t.boxes()).select("det_id", G.scaled(F.col("cx")).alias("e_mm"), G.scaled(F.col("cy")).alias("n_mm"), "confidence", "min_confidence")
 
 
 @query(f"SELECT label, count(*) AS n FROM fx_detection WHERE {LENGTH} >= 4 GROUP BY label", "fx_detection")
@@ -115,11 +111,7 @@ def cell_envelope_filter(t):
 SELECT DISTINCT cell_col, cell_row, concat('e', cell_col, 'n', cell_row) AS name FROM c WHERE (least(max_e, (cell_col + 1) * 1000) - min_e) + (least(max_n, (cell_row + 1) * 1000) - min_n) > chamfer""", "fx_region_part")
 def grid_cells_over_region(t):
     """Cells of 1 km that share positive area with a part."""
-    dealt = grid.cells(t.parts(), 1000.0)
-    corner = F.least(F.col("max_e"), (F.col("cell_col") + 1) * 1000), F.least(F.col("max_n"), (F.col("cell_row") + 1) * 1000)
-    # A convex part and a cell overlap if the part holds the corner of the shared envelope that lies farthest inside.
-    inside = (corner[0] - F.col("min_e")) + (corner[1] - F.col("min_n")) > F.col("chamfer")
-    return dealt.filter(inside).select("cell_col", "cell_row", grid.cell_name(F.col("cell_col"), F.col("cell_row")).alias("name")).distinct()
+    return polygons.cells_over(t.parts().select("part_id", "edges", *spatial.ENVELOPE), 1000.0)
 
 
 @query(f"SELECT det_id, district FROM fx_detection LEFT JOIN (SELECT det_id, arg_min(district, part_id) AS district FROM fx_detection JOIN fx_region_part ON {_IN_PART} GROUP BY det_id) USING (det_id)", "fx_detection", "fx_region_part")
@@ -300,12 +292,76 @@ def road_count_region(t):
 FROM fx_region_part a JOIN fx_region_part b ON a.part_id < b.part_id WHERE least(a.max_e, b.max_e + 1000) > greatest(a.min_e, b.min_e - 1000) AND least(a.max_n, b.max_n + 1000) > greatest(a.min_n, b.min_n - 1000)""", "fx_region_part")
 def aoi_overlaps(t):
     """Areas whose envelopes, one of them widened by a kilometre, share positive area."""
-    names = ("min_e", "min_n", "max_e", "max_n")
-    a = spatial.by_bucket(t("fx_region_part").select(F.col("part_id").alias("a_id"), *[F.col(c).alias(f"p_{c}") for c in names]), tuple(F.col(f"p_{c}") for c in names), 1000.0)
-    wide = t("fx_region_part").select(F.col("part_id").alias("b_id"), *[(F.col(c) + (1000 if c.startswith("max") else -1000)).alias(f"q_{c}") for c in names])
-    b = spatial.by_bucket(wide, tuple(F.col(f"q_{c}") for c in names), 1000.0)
-    area = G.envelope_overlap(tuple(F.col(f"p_{c}") for c in names), tuple(F.col(f"q_{c}") for c in names))
-    return a.join(b, ["bx", "by"]).filter(F.col("a_id") < F.col("b_id")).withColumn("area_m2", G.scaled(area, 1)).filter("area_m2 > 0").select("a_id", "b_id", "area_m2").distinct()
+    return polygons.overlaps(t("fx_region_part"), "part_id", margin=1000.0).withColumn("area_m2", G.scaled(F.col("area_m2"), 1))
+
+
+#: Squares of 50 m that the districts are made of, and the cells of 300 m they lie in.
+_SQUARES = """sq AS (SELECT district_id, part, CAST(e0 / 50 AS BIGINT) + x AS gx, CAST(n0 / 50 AS BIGINT) + y AS gy FROM fx_district, (SELECT 0 AS part, x, y FROM range(36) AS a(x), range(26) AS b(y) WHERE NOT (x >= 24 AND y >= 16) AND NOT (x BETWEEN 8 AND 13 AND y BETWEEN 6 AND 9)
+UNION ALL SELECT 1, x, y FROM range(28, 34) AS a(x), range(19, 25) AS b(y)))"""
+
+
+def _district_parts(t):
+    return polygons.explode_parts(t.districts())
+
+
+@query(f"WITH {_SQUARES} SELECT district_id, part, count(*) * 2500 AS area_m2 FROM sq GROUP BY ALL", "fx_district")
+def district_parts(t):
+    """Polygons of the districts' multipolygons with their areas, holes taken off."""
+    return _district_parts(t).select("district_id", "part", G.scaled(F.col("area_m2"), 1).alias("area_m2"))
+
+
+@query(f"WITH {_SQUARES} SELECT district_id, part, gx // 6 AS cell_col, gy // 6 AS cell_row, count(*) * 2500 AS shared_m2 FROM sq GROUP BY ALL", "fx_district")
+def district_cell_area(t):
+    """What each part shares with cells of 300 m."""
+    return polygons.by_cell(_district_parts(t), 300.0).select("district_id", "part", "cell_col", "cell_row", G.scaled(F.col("shared_m2"), 1).alias("shared_m2"))
+
+
+@query(f"WITH {_SQUARES} SELECT DISTINCT gx // 6 AS cell_col, gy // 6 AS cell_row, concat('e', gx // 6, 'n', gy // 6) AS name FROM sq", "fx_district")
+def district_cells(t):
+    return polygons.cells_over(_district_parts(t), 300.0)
+
+
+@query(f"WITH {_SQUARES} SELECT gx // 6 AS cell_col, gy // 6 AS cell_row, {nearest('count(DISTINCT (gx, gy)) / 36', 10000)} AS coverage FROM sq GROUP BY ALL", "fx_district")
+def district_coverage(t):
+    """The share of each cell that the union of the overlapping districts covers."""
+    return polygons.coverage(_district_parts(t), 300.0).select("cell_col", "cell_row", G.scaled(F.col("coverage"), 10000).alias("coverage"))
+
+
+@query(f"WITH {_SQUARES} SELECT count(DISTINCT (gx, gy)) * 2500 AS area_m2 FROM sq", "fx_district")
+def district_union_area(t):
+    return polygons.union_area(_district_parts(t)).select(G.scaled(F.col("area_m2"), 1).alias("area_m2"))
+
+
+_ROAD_PARTS = """met AS (SELECT district_id, 0 AS part, street_id FROM fx_district JOIN fx_street ON min_n BETWEEN n0 AND n0 + 1300 AND max_e >= e0 AND min_e <= e0 + CASE WHEN min_n <= n0 + 800 THEN 1800 ELSE 1200 END
+UNION ALL SELECT district_id, 1, street_id FROM fx_district JOIN fx_street ON min_n BETWEEN n0 + 950 AND n0 + 1250 AND max_e >= e0 + 1400 AND min_e <= e0 + 1700),
+held AS (SELECT district_id, part, count(DISTINCT street_id) AS roads FROM met GROUP BY ALL)"""
+
+
+def _road_parts(t):
+    line = G.edges_of(G.ring((F.col("min_e"), F.col("min_n")), (F.col("max_e"), F.col("min_n"))))
+    roads = t("fx_street").select(F.col("street_id").alias("road_id"), line.alias("line"))
+    parts = _district_parts(t).withColumn("key", F.struct("district_id", "part"))
+    return parts, polygons.with_roads(parts, roads, "key")
+
+
+@query(f"WITH {_ROAD_PARTS} SELECT district_id, part, roads FROM held", "fx_district", "fx_street")
+def district_roads(t):
+    """Parts of districts that a road meets, with how many do."""
+    return _road_parts(t)[1].select("district_id", "part", "roads")
+
+
+@query(f"WITH {_ROAD_PARTS}, {_SQUARES}, sizes AS (SELECT district_id, part, count(*) * 2500 AS m2 FROM sq GROUP BY ALL) SELECT count(roads) AS kept, count(*) - count(roads) AS dropped, CAST(sum(CASE WHEN roads > 0 THEN m2 ELSE 0 END) * 1000 // sum(m2) AS BIGINT) AS permille FROM sizes LEFT JOIN held USING (district_id, part)", "fx_district", "fx_street")
+def district_kept_share(t):
+    """How much of the districts' area the parts with a road make."""
+    parts, kept = _road_parts(t)
+    return polygons.kept_share(kept, parts).select("kept", "dropped", "permille")
+
+
+@query(f"WITH {_SQUARES}, held AS (SELECT DISTINCT gx // 5 AS cell_col, gy // 5 AS cell_row FROM sq), b AS (SELECT {CX} AS x, {CY} AS y FROM fx_detection WHERE label = 'truck' AND confidence >= {CENSUS}) "
+       "SELECT CAST(floor(x / 250) AS BIGINT) AS cell_col, CAST(floor(y / 250) AS BIGINT) AS cell_row, count(*) AS n FROM b JOIN held ON floor(x / 250) = cell_col AND floor(y / 250) = cell_row WHERE x / 250 <> floor(x / 250) AND y / 250 <> floor(y / 250) GROUP BY ALL", "fx_detection", "fx_district")
+def district_truck_grid(t):
+    """Trucks by cell of 250 m of those over the districts."""
+    return density.by_cell(density.counted(t.boxes()), cells=polygons.cells_over(_district_parts(t), 250.0))
 
 
 @query("SELECT year, count(*) AS n FROM (SELECT det_id, 2019 + det_id % 5 AS year FROM fx_detection) WHERE year <> 2022 GROUP BY year", "fx_detection")

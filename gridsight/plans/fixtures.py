@@ -27,6 +27,10 @@ SELECT det_id, label, confidence, cx, cy, cx - ux*hl + uy*hw AS x0, cy - uy*hl -
         """SELECT n_nationkey AS part_id, CAST(25490000 + (n_nationkey % 5) * 1600 + 100 AS DOUBLE) AS min_e, CAST(6670000 + ((n_nationkey - n_nationkey % 5) / 5) * 1200 + 150 AS DOUBLE) AS min_n,
   CAST(25490000 + (n_nationkey % 5) * 1600 + 1500 AS DOUBLE) AS max_e, CAST(6670000 + ((n_nationkey - n_nationkey % 5) / 5) * 1200 + 1050 AS DOUBLE) AS max_n, CAST(200 AS DOUBLE) AS chamfer, n_name AS district FROM {nation}""",
     ),
+    "fx_district": (
+        ("nation",),
+        "SELECT n_nationkey AS district_id, n_name AS name, CAST(25490000 + (n_nationkey % 5) * 1500 AS DOUBLE) AS e0, CAST(6670000 + ((n_nationkey - n_nationkey % 5) / 5) * 1100 AS DOUBLE) AS n0 FROM {nation}",
+    ),
     "fx_street": (
         ("supplier",),
         """SELECT s_suppkey AS street_id, concat('KATU_', CAST(s_suppkey AS VARCHAR(20))) AS kadun_nimi,
@@ -78,6 +82,16 @@ class Tables:
         e0, n0, e1, n1, cut = (F.col(c) for c in ("min_e", "min_n", "max_e", "max_n", "chamfer"))
         return with_polygon(self("fx_region_part"), G.edges_of(G.ring((e0 + cut, n0), (e1, n0), (e1, n1), (e0, n1), (e0, n0 + cut))))
 
+    def districts(self) -> DataFrame:
+        """Overlapping multipolygons: an angle with a hole, and an island in its corner; all on a lattice of 50 m."""
+
+        def ring(*corners: tuple[int, int]):
+            return G.ring(*[(F.col("e0") + x, F.col("n0") + y) for x, y in corners])
+
+        angle = ring((0, 0), (1800, 0), (1800, 800), (1200, 800), (1200, 1300), (0, 1300))
+        hole, island = ring((400, 300), (700, 300), (700, 500), (400, 500)), ring((1400, 950), (1400, 1250), (1700, 1250), (1700, 950))
+        return self("fx_district").withColumn("shape", F.array(F.array(angle, hole), F.array(island)))
+
     def rectangles(self, name: str) -> DataFrame:
         e0, n0, e1, n1 = (F.col(c) for c in ("min_e", "min_n", "max_e", "max_n"))
         return with_polygon(self(name), G.edges_of(G.ring((e0, n0), (e1, n0), (e1, n1), (e0, n1))))

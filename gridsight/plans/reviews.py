@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridsight.functions import geometry as G
 from gridsight.functions import grid
-from gridsight.operators import evaluate, labels, manifest, mining
+from gridsight.operators import evaluate, labels, manifest, mining, polygons
 from gridsight.operators.spatial import ENVELOPE
 from gridsight.plans.registry import CX, CY, LENGTH, WINDOWS_SQL, nearest, query
 
@@ -103,8 +103,7 @@ grade AS (SELECT *, CASE stratum WHEN 'near_threshold' THEN n_near WHEN 'size_bo
 
 
 def _covered(t):
-    cells = grid.cells(t("fx_region_part"), 300.0).select("cell_col", "cell_row").distinct()
-    return mining.coverage(cells, t("fx_region_part"))
+    return polygons.coverage(t.rectangles("fx_region_part"), mining.CELL_M)
 
 
 def _mining_cells(t):
