@@ -98,17 +98,38 @@ def stage(candidates: DataFrame) -> DataFrame:
 
 
 def review_order(labels: DataFrame) -> DataFrame:
-    """``place`` in the banded sweep of an area: bands of 100 m from the north, west to east within."""
+    """``place`` of ``total`` in the banded sweep of an area: bands of 100 m from the north, west to east within."""
     band = F.floor(F.col("cy") / 100 + F.lit(0.5))
-    sweep = Window.partitionBy("aoi").orderBy(F.desc(band), "cx", "det_id")
-    return labels.withColumn("place", F.row_number().over(sweep).cast("long"))
+    area = Window.partitionBy("aoi")
+    return labels.withColumns({"place": F.row_number().over(area.orderBy(F.desc(band), "cx", "det_id")).cast("long"), "total": F.count(F.lit(1)).over(area)})
 
 
 def next_candidate(labels: DataFrame) -> DataFrame:
-    """For each candidate of an area, the next one in sweep order, round to the first."""
+    """For each candidate of an area, the next and the previous one in sweep order, round the ends."""
     waiting = review_order(labels).filter(F.coalesce("status", F.lit("candidate")) == "candidate")
     sweep = Window.partitionBy("aoi").orderBy("place")
-    return waiting.withColumn("next_id", F.coalesce(F.lead("det_id").over(sweep), F.first("det_id").over(sweep)))
+    whole = sweep.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return waiting.withColumns({"next_id": F.coalesce(F.lead("det_id").over(sweep), F.first("det_id").over(whole)), "previous_id": F.coalesce(F.lag("det_id").over(sweep), F.last("det_id").over(whole))})
+
+
+def folder_tallies(areas: DataFrame) -> DataFrame:
+    """``bucket, areas, total, reviewed`` of areas (``split, total, reviewed``, nulls where not staged) by split, with ``all`` for the sum."""
+    bucket = F.when(F.col("total").isNull(), "not staged").otherwise(F.col("split"))
+    sums = [F.count(F.lit(1)).alias("areas"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total", "reviewed")]]
+    told = areas.withColumn("bucket", bucket).rollup("bucket").agg(F.grouping("bucket").alias("_all"), *sums)
+    return told.select(F.when(F.col("_all") == 1, "all").otherwise(F.col("bucket")).alias("bucket"), "areas", "total", "reviewed")
+
+
+def export_totals(windows: DataFrame, held: DataFrame) -> DataFrame:
+    """``split, windows, boxes``: windows (``split, aoi, x, y``) of an export and the boxes (``yolo_boxes``) in them."""
+    boxes = held.groupBy("aoi", "x", "y").agg(F.count(F.lit(1)).alias("_n"))
+    return windows.join(boxes, ["aoi", "x", "y"], "left").groupBy("split").agg(F.count(F.lit(1)).alias("windows"), F.coalesce(F.sum("_n"), F.lit(0)).alias("boxes"))
+
+
+def shown_problems(found: DataFrame, key: str, *, most: int = 20) -> tuple[list[str], int]:
+    """The first ``most`` defects by key as lines for a report, and how many more there are."""
+    first = found.orderBy(key, "problem").limit(most).collect()
+    return [f"{r[key]}: {r['problem']}" for r in first], max(0, found.count() - most)
 
 
 def coalesced_edits(edits: DataFrame, *, gap_ms: int = 700) -> DataFrame:
