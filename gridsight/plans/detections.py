@@ -223,6 +223,15 @@ def nms_merged(t):
     return nms.merge(_ids(t.stored_boxes())).select(F.col("id").alias("det_id"), "label")
 
 
+_CLASS_EDGES = _EDGES.replace("a.det_id < b.det_id AND", "a.det_id < b.det_id AND a.label = b.label AND")
+
+
+@query(f"WITH {_CLASS_EDGES}, {_suppressed_sql()} SELECT det_id, label FROM fx_detection WHERE det_id NOT IN (SELECT id FROM lost)", "fx_detection")
+def merged_within_class(t):
+    """Suppression within groups, here classes; boxes of two groups never remove each other."""
+    return nms.merge(_ids(t.stored_boxes()), within="label").select(F.col("id").alias("det_id"), "label")
+
+
 @query(f"WITH {_EDGES}, {_suppressed_sql()} SELECT count(*) AS removed FROM fx_detection WHERE det_id IN (SELECT id FROM lost)", "fx_detection")
 def nms_removed_count(t):
     return nms.suppressed(nms.overlaps(_ids(t.stored_boxes()))).agg(F.count(F.lit(1)).alias("removed"))

@@ -58,6 +58,11 @@ SELECT det_id, label, confidence, cx, cy, cx - ux*hl + uy*hw AS x0, cy - uy*hl -
         ("events",),
         """SELECT CAST(floor(value / CAST(10 AS DOUBLE)) AS BIGINT) AS i, CAST(1 AS DOUBLE) - CAST(1 AS DOUBLE) / (CAST(1 AS DOUBLE) + CAST(count(*) AS DOUBLE)) AS p0, count(*) AS n FROM {events} GROUP BY CAST(floor(value / CAST(10 AS DOUBLE)) AS BIGINT)""",
     ),
+    "fx_action": (
+        ("events",),
+        """SELECT event_id AS seq, event_id * 350 AS at_ms, user_id % 5 AS session, user_id AS box, CASE event_id % 7 WHEN 0 THEN 'draw' WHEN 1 THEN 'classify' WHEN 4 THEN 'reject' WHEN 5 THEN 'classify' ELSE 'move' END AS kind,
+  CASE event_id % 3 WHEN 0 THEN 'truck' WHEN 1 THEN 'bus' ELSE 'car' END AS class, event_id AS ring FROM {events}""",
+    ),
     "fx_edit": (
         ("events",),
         "SELECT event_id AS seq, user_id AS box, user_id % 5 AS session, event_id * 350 - (event_id % 3) * 100 AS at_ms FROM (SELECT event_id, CAST((event_id - event_id % 10) / 10 AS BIGINT) % 50 AS user_id FROM {events})",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gridsight.functions import geometry as G
 from gridsight.functions import grid
-from gridsight.operators import evaluate, labels, manifest, mining, polygons
+from gridsight.operators import detect, edits, evaluate, labels, manifest, mining, polygons
 from gridsight.operators.spatial import ENVELOPE
 from gridsight.plans.registry import CX, CY, LENGTH, WINDOWS_SQL, nearest, query
 
@@ -78,18 +78,49 @@ def yolo_lines(t):
     return held.select("det_id", "x", "y", labels.class_index(F.col("class")).alias("class_index"), G.scaled(F.col("u0"), 1000000).alias("u0"), G.scaled(F.col("v2"), 1000000).alias("v2"))
 
 
-@query("SELECT aoi, truth, found, CASE WHEN truth >= 60 THEN abs(found - truth) / truth <= 0.1 END AS passed FROM (SELECT aoi, count(*) FILTER (WHERE status IN ('confirmed', 'added')) AS truth, count(*) FILTER (WHERE det_id % 7 <> 0) AS found FROM fx_label GROUP BY aoi)", "fx_label")
+_AREA_COUNTS = """areas AS (SELECT concat('aoi_', i) AS aoi FROM range(30) AS r(i)), truths AS (SELECT aoi, count(*) AS n FROM fx_label WHERE status IN ('confirmed', 'added') GROUP BY aoi),
+finds AS (SELECT concat('aoi_', det_id % 25) AS aoi, count(*) AS n FROM fx_detection WHERE confidence >= 0.25 GROUP BY 1),
+counted AS (SELECT aoi, coalesce(t.n, 0) AS truth, coalesce(f.n, 0) AS found FROM areas LEFT JOIN truths t USING (aoi) LEFT JOIN finds f USING (aoi)),
+gated AS (SELECT *, CASE WHEN truth >= 60 THEN abs(found - truth) / truth <= 0.1 END AS passed FROM counted)"""
+
+
+def _area_counts(t):
+    areas = t.spark.range(30).select(F.concat(F.lit("aoi_"), F.col("id").cast("string")).alias("aoi"))
+    truth = labels.verified(t("fx_label")).groupBy("aoi").agg(F.count(F.lit(1)).alias("n"))
+    found = t("fx_detection").filter(F.col("confidence") >= 0.25).groupBy(F.concat(F.lit("aoi_"), (F.col("det_id") % 25).cast("string")).alias("aoi")).agg(F.count(F.lit(1)).alias("n"))
+    return evaluate.area_counts(areas, truth, found)
+
+
+@query(f"WITH {_AREA_COUNTS} SELECT aoi, truth, found, passed FROM gated", "fx_label")
 def count_gates(t):
-    """Counts of each area against its truth; null where there is too little truth."""
-    counts = t("fx_label").groupBy("aoi").agg(F.count_if(F.col("status").isin(*labels.VERIFIED)).alias("truth"), F.count_if(F.col("det_id") % 7 != 0).alias("found"))
-    return counts.withColumn("passed", evaluate.count_gate(F.col("found"), F.col("truth")))
+    """What was found in each area against its truth; null where there is too little truth, or none."""
+    return _area_counts(t)
 
 
 @query("""WITH c AS (SELECT i, i / 40.0::DOUBLE AS px, p0 AS p, 1 - i / 50.0::DOUBLE AS r FROM fx_pr_curve), u AS (SELECT * FROM c WHERE px >= 0.05)
 SELECT i FROM u ORDER BY CASE WHEN r >= 0.9 THEN 0 ELSE 1 END, CASE WHEN r >= 0.9 THEN -p WHEN p + r = 0 THEN 0 ELSE -2 * p * r / (p + r) END, i LIMIT 1""", "fx_pr_curve")
 def operating_point(t):
-    curve = t("fx_pr_curve").select("i", (F.col("i") / F.lit(40.0)).alias("px"), F.col("p0").alias("p"), (1 - F.col("i") / F.lit(50.0)).alias("r"))
-    return evaluate.operating_point(curve).select("i")
+    return evaluate.operating_point(_curve(t)).select("i")
+
+
+def _curve(t):
+    return t("fx_pr_curve").select("i", (F.col("i") / F.lit(40.0)).alias("px"), F.col("p0").alias("p"), (1 - F.col("i") / F.lit(50.0)).alias("r"))
+
+
+_GATES = f"""{_AREA_COUNTS}, curve AS (SELECT i, i / 40.0::DOUBLE AS px, p0 AS p, 1 - i / 50.0::DOUBLE AS r FROM fx_pr_curve),
+chosen AS (SELECT p, r FROM curve WHERE px >= 0.05 ORDER BY CASE WHEN r >= 0.9 THEN 0 ELSE 1 END, CASE WHEN r >= 0.9 THEN -p WHEN p + r = 0 THEN 0 ELSE -2 * p * r / (p + r) END, i LIMIT 1),
+gates AS (SELECT 'recall' AS gate, r >= 0.9 AS passed FROM chosen UNION ALL SELECT 'precision', p >= 0.85 FROM chosen UNION ALL SELECT concat('count ', aoi), passed FROM gated)"""
+
+
+@query(f"WITH {_GATES} SELECT gate, passed FROM gates", "fx_label", "fx_pr_curve")
+def gates(t):
+    """Everything a model has to pass, and what is only reported."""
+    return evaluate.gates(evaluate.operating_point(_curve(t)), _area_counts(t)).select("gate", "passed")
+
+
+@query(f"WITH {_GATES} SELECT count(*) FILTER (WHERE NOT passed) = 0 AND count(passed) > 0 AS passed, count(*) FILTER (WHERE NOT passed) AS failed, count(*) FILTER (WHERE passed IS NULL) AS reported FROM gates", "fx_label", "fx_pr_curve")
+def verdict(t):
+    return evaluate.verdict(evaluate.gates(evaluate.operating_point(_curve(t)), _area_counts(t)))
 
 
 _SHARE = "sum((least(max_e, (col + 1) * 300) - greatest(min_e, col * 300)) * (least(max_n, (row + 1) * 300) - greatest(min_n, row * 300))) / 90000"
@@ -141,8 +172,14 @@ def ranked_strata(t):
 f AS (SELECT wanted, stratum, ord, wanted * share // 100 AS base, wanted * share % 100 AS rest FROM s, c), g AS (SELECT *, row_number() OVER (PARTITION BY wanted ORDER BY rest DESC, ord) AS k, wanted - sum(base) OVER (PARTITION BY wanted) AS left_over FROM f)
 SELECT wanted, stratum, CAST(base + CASE WHEN k <= left_over THEN 1 ELSE 0 END AS BIGINT) AS slots FROM g""")
 def quota_slots(t):
-    rows = [(n, name, slots) for n in (4, 7, 12, 13) for name, slots in mining.quotas(n).items()]
-    return t.spark.createDataFrame(rows, "wanted int, stratum string, slots long")
+    counts = t.spark.range(1).select(F.explode(F.array(*map(F.lit, (4, 7, 12, 13)))).alias("wanted"))
+    return mining.quota_table(counts)
+
+
+@query(f"""WITH {_CELLS} SELECT name, CASE stratum WHEN 'near_threshold' THEN concat(n_near, ' detections about the operating confidence: look for missed vehicles in the whole cell.') WHEN 'size_boundary' THEN concat(n_size, ' detections of 4 to 8 m: truck or van is to be told with care.')
+WHEN 'dense' THEN concat(n, ' detections close together: look for missed vehicles between them.') ELSE 'Few detections on land of the right use: look for misses, or keep it as a hard negative if it is empty.' END AS notes FROM grade""", "fx_detection", "fx_region_part")
+def proposal_notes(t):
+    return mining.graded(_gradable(t)).select("name", mining.notes().alias("notes"))
 
 
 @query(f"""WITH RECURSIVE {_CELLS}, places AS (SELECT name, stratum, e, nn, row_number() OVER (ORDER BY signal DESC, mean_s DESC, name DESC) AS place FROM grade),
@@ -198,14 +235,15 @@ def resume_todo(t):
 _SWEEP = "SELECT *, row_number() OVER (PARTITION BY aoi ORDER BY floor(cy / 100 + 0.5) DESC, cx, det_id) AS place FROM fx_label"
 
 
-@query(f"SELECT det_id, aoi, place FROM ({_SWEEP})", "fx_label")
+@query(f"SELECT det_id, aoi, place, count(*) OVER (PARTITION BY aoi) AS total FROM ({_SWEEP})", "fx_label")
 def review_order(t):
-    return labels.review_order(t("fx_label")).select("det_id", "aoi", "place")
+    """Place and number of boxes of an area: what an editor shows as one of so many."""
+    return labels.review_order(t("fx_label")).select("det_id", "aoi", "place", "total")
 
 
-@query(f"SELECT det_id, coalesce(lead(det_id) OVER (PARTITION BY aoi ORDER BY place), first(det_id) OVER (PARTITION BY aoi ORDER BY place)) AS next_id FROM ({_SWEEP}) WHERE status = 'candidate'", "fx_label")
+@query(f"""SELECT det_id, coalesce(lead(det_id) OVER w, first(det_id) OVER w) AS next_id, coalesce(lag(det_id) OVER w, first(det_id) OVER (PARTITION BY aoi ORDER BY place DESC)) AS previous_id FROM ({_SWEEP}) WHERE status = 'candidate' WINDOW w AS (PARTITION BY aoi ORDER BY place)""", "fx_label")
 def next_candidate(t):
-    return labels.next_candidate(t("fx_label")).select("det_id", "next_id")
+    return labels.next_candidate(t("fx_label")).select("det_id", "next_id", "previous_id")
 
 
 @query("""WITH f AS (SELECT *, CASE WHEN lag(box) OVER w IS NULL OR lag(box) OVER w <> box OR at_ms - lag(at_ms) OVER w >= 700 THEN 1 ELSE 0 END AS fresh FROM fx_edit WINDOW w AS (PARTITION BY session ORDER BY seq)), r AS (SELECT *, sum(fresh) OVER (PARTITION BY session ORDER BY seq) AS run FROM f)
@@ -241,3 +279,45 @@ def area_listing(t):
     areas = t.spark.range(30).select(F.concat(F.lit("aoi_"), F.col("id").cast("string")).alias("area"))
     counts = t("fx_label").groupBy(F.col("aoi").alias("area")).agg(F.count(F.lit(1)).alias("total"))
     return areas.join(counts, "area", "left").select("area", F.coalesce("total", F.lit(0)).alias("total"), F.col("total").isNotNull().alias("staged"))
+
+
+@query("""WITH areas AS (SELECT concat('aoi_', i) AS aoi, CASE WHEN i % 4 = 0 THEN 'validation' ELSE 'train' END AS split FROM range(30) AS r(i)),
+counts AS (SELECT aoi, count(*) AS total, count(*) FILTER (WHERE status <> 'candidate') AS reviewed FROM fx_label GROUP BY aoi), held AS (SELECT CASE WHEN total IS NULL THEN 'not staged' ELSE split END AS bucket, total, reviewed FROM areas LEFT JOIN counts USING (aoi))
+SELECT coalesce(bucket, 'all') AS bucket, count(*) AS areas, coalesce(sum(total), 0)::BIGINT AS total, coalesce(sum(reviewed), 0)::BIGINT AS reviewed FROM held GROUP BY ROLLUP (bucket)""", "fx_label")
+def folder_tallies(t):
+    """Areas and their boxes by split, those not staged apart, and all together."""
+    areas = t.spark.range(30).select(F.concat(F.lit("aoi_"), F.col("id").cast("string")).alias("aoi"), F.when(F.col("id") % 4 == 0, "validation").otherwise("train").alias("split"))
+    return labels.folder_tallies(areas.join(labels.reviewed(t("fx_label"), "aoi"), "aoi", "left"))
+
+
+@query(f"""WITH {WINDOWS_SQL}, w AS (SELECT part_id, x, y, CASE WHEN part_id % 4 = 0 THEN 'validation' ELSE 'train' END AS split FROM xs JOIN ys USING (part_id)),
+placed AS (SELECT part_id, x, y, {', '.join(f'((x{k} - 24451424) / 0.125 - x) / 1024 AS u{k}, ((8388608 - y{k}) / 0.125 - y) / 1024 AS v{k}' for k in range(4))} FROM fx_label JOIN w ON part_id = det_id % 25 WHERE status IN ('confirmed', 'added') AND class <> ''),
+held AS (SELECT part_id, x, y, count(*) AS n FROM placed WHERE {' AND '.join(f'{a}{k} BETWEEN 0 AND 1' for a in 'uv' for k in range(4))} GROUP BY ALL)
+SELECT split, count(*) AS windows, coalesce(sum(n), 0)::BIGINT AS boxes FROM w LEFT JOIN held USING (part_id, x, y) GROUP BY split""", "fx_label", "fx_region_part")
+def export_totals(t):
+    """Windows and boxes of an export by split."""
+    split = F.when(F.col("part_id") % 4 == 0, "validation").otherwise("train")
+    windows = grid.windows(t("fx_region_part"), 16).select(F.col("part_id").alias("aoi"), "x", "y", split.alias("split"))
+    boxes = labels.verified(t("fx_label")).withColumn("aoi", F.col("det_id") % 25)
+    return labels.export_totals(windows, labels.yolo_boxes(windows.drop("split"), boxes, size_px=1024, metres_px=0.125, origin_e=24451424.0, origin_n=8388608.0))
+
+
+@query("""WITH m AS (SELECT *, CASE WHEN lead(at_ms) OVER (PARTITION BY session ORDER BY at_ms, seq) - at_ms < 800 THEN 0 ELSE 1 END AS rested FROM fx_edit),
+r AS (SELECT *, coalesce(sum(rested) OVER (PARTITION BY session ORDER BY at_ms, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS run FROM m)
+SELECT session, max(at_ms) + 800 AS saved_ms, count(*) AS edits FROM r GROUP BY session, run""", "fx_edit")
+def edit_saves(t):
+    """When an editor saves: after a rest of 800 ms."""
+    return edits.saves(t("fx_edit"))
+
+
+@query("""WITH a AS (SELECT session, box, max(seq) FILTER (WHERE kind = 'draw') AS drawn, max(seq) FILTER (WHERE kind = 'reject') AS rejected, arg_max(kind, seq) FILTER (WHERE kind <> 'move') AS told, arg_max(class, seq) FILTER (WHERE kind IN ('draw', 'classify')) AS name, arg_max(ring, seq) FILTER (WHERE kind IN ('draw', 'move')) AS ring FROM fx_action GROUP BY session, box)
+SELECT session, box, CASE WHEN told = 'reject' THEN 'rejected' WHEN drawn IS NOT NULL AND (rejected IS NULL OR rejected < drawn) THEN 'added' WHEN told = 'classify' THEN 'confirmed' ELSE 'candidate' END AS status, CASE WHEN told = 'reject' THEN '' ELSE coalesce(name, '') END AS class, ring FROM a""", "fx_action")
+def edited_boxes(t):
+    """What boxes are after everything an editor did to them."""
+    return edits.boxes(edits.effective(t("fx_action")))
+
+
+@query(f"WITH {WINDOWS_SQL}, w AS (SELECT part_id, x, y FROM xs JOIN ys USING (part_id)), c AS (SELECT *, unnest(range(CAST(floor(x / 256) AS BIGINT), CAST(floor((x + 1023) / 256) AS BIGINT) + 1)) AS tile_col FROM w) SELECT part_id, tile_col, tile_row, count(*) AS windows FROM (SELECT *, unnest(range(CAST(floor(y / 256) AS BIGINT), CAST(floor((y + 1023) / 256) AS BIGINT) + 1)) AS tile_row FROM c) GROUP BY ALL", "fx_region_part")
+def window_tiles(t):
+    """In how many windows of its part a tile is shown."""
+    return detect.window_tiles(grid.windows(t("fx_region_part"), 16)).groupBy("part_id", "tile_col", "tile_row").agg(F.count(F.lit(1)).alias("windows"))
