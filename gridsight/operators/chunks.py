@@ -22,18 +22,14 @@ from pyspark.sql import functions as F
 from gridsight.functions import geometry as G
 from gridsight.operators import manifest, nms, spatial
 from gridsight.sources import manifest as log
+from gridsight.staging import exists
 
 RUNNING, DONE, FAILED = "running", "done", "failed"
 DETECTIONS = "cell string, id long, label string, confidence double, " + ", ".join(f"{c} double" for c in G.CORNERS)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def _log(spark: SparkSession, root: str) -> DataFrame:
-    return log.read(spark, f"{root}/log") if _exists(spark, f"{root}/log") else spark.createDataFrame([], log.SCHEMA).drop("_bad")
+    return log.read(spark, f"{root}/log") if exists(spark, f"{root}/log") else spark.createDataFrame([], log.SCHEMA).drop("_bad")
 
 
 def _record(rows: DataFrame, root: str, status: str) -> None:
@@ -92,7 +88,7 @@ def finished(spark: SparkSession, root: str) -> DataFrame:
     records = _log(spark, root).filter("cell IS NOT NULL")
     last = records.groupBy("cell").agg(F.max_by(F.struct("status", F.col("params")["attempt"].alias("attempt")), "seq").alias("l"))
     done = last.filter(F.col("l.status") == DONE).select("cell", "l.attempt")
-    if not _exists(spark, f"{root}/detections"):
+    if not exists(spark, f"{root}/detections"):
         return spark.createDataFrame([], DETECTIONS)
     return spark.read.parquet(f"{root}/detections").join(done, ["cell", "attempt"], "left_semi").drop("attempt")
 

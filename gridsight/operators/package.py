@@ -11,6 +11,11 @@ from pyspark.sql import functions as F
 ENRICHED = ("district", "postal_code", "street", "street_type", "context", "street_part")
 
 
+def layer_name(year: int, zoom: int) -> str:
+    """What a year's layer is called (fixed format)."""
+    return f"helsinki_{year}_z{zoom}"
+
+
 def check(frame: DataFrame, where: str) -> DataFrame:
     """``frame``, if it has rows and every enriched column."""
     missing = sorted(set(ENRICHED) - set(frame.columns))

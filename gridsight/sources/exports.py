@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pathlib import Path
+from collections.abc import Iterator
 
+import pyarrow as pa
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsight.operators import labels
+from gridsight.staging import exists, filesystem, put
 
 
 def dataset_yaml(root: str) -> str:
@@ -23,23 +25,30 @@ def proposal_yaml(proposals: DataFrame, crs_name: str = "EPSG:3067") -> str:
     return yaml.safe_dump({"crs": crs_name, "aois": entries}, sort_keys=False, allow_unicode=True)
 
 
-def write_yolo(held: DataFrame, windows: DataFrame, folder: str) -> None:
-    """Label text for every window, also those without boxes: one row of text per window, by split.
+def write_yolo(held: DataFrame, windows: DataFrame, folder: str) -> int:
+    """A label file ``split/stem.txt`` for every window, also those without boxes, written by the tasks; returns how many.
 
-    ``windows`` has ``split, stem, aoi, x, y``; ``held`` is the result of ``labels.yolo_boxes``.
+    ``windows`` has ``split, stem, aoi, x, y``; ``held`` is the result of ``labels.yolo_boxes``. A
+    repeated task writes the same files again.
     """
     lines = held.select("aoi", "x", "y", "det_id", labels.yolo_line().alias("line")).groupBy("aoi", "x", "y").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("det_id", "line"))), lambda r: r["line"]), "\n").alias("value"))
     texts = windows.join(lines, ["aoi", "x", "y"], "left").select("split", "stem", F.coalesce("value", F.lit("")).alias("value"))
-    texts.write.partitionBy("split", "stem").mode("errorifexists").text(folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, base = filesystem(folder)
+        for batch in batches:
+            for split, stem, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                put(fs, f"{base}/{split}/{stem}.txt", (value + "\n" * bool(value)).encode())
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], ["n"])
+
+    return texts.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def stage(candidates: DataFrame, folder: str, *, force: bool = False) -> None:
     """Candidates as label rows, a partition for each area; areas staged before are left alone unless forced."""
-    rows = labels.stage(candidates)
-    known = Path(folder)
-    if not force and known.is_dir():
-        staged = [p.name.removeprefix("aoi=") for p in known.iterdir() if p.name.startswith("aoi=")]
-        rows = rows.filter(~F.col("aoi").isin(staged)) if staged else rows
+    rows, spark = labels.stage(candidates), candidates.sparkSession
+    if not force and exists(spark, folder):
+        rows = rows.join(spark.read.parquet(folder).select(F.col("aoi").cast("string")).distinct(), "aoi", "left_anti")
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("aoi").parquet(folder)
 
 

@@ -67,3 +67,16 @@ def write_collection(detections: DataFrame, path: str, **constants: object) -> i
             count += 1
         file.write("\n]}\n")
     return count
+
+
+def write_proposals(proposals: DataFrame, path: str, *, operating_confidence: float) -> int:
+    """Proposed cells (a few) with what speaks for each, as one collection; returns how many."""
+    b = [F.col("bbox")[k] for k in range(4)]
+    corners = F.array(*[F.array(F.round(b[i], 3), F.round(b[j], 3)) for i, j in ((0, 1), (2, 1), (2, 3), (0, 3), (0, 1))])
+    signals = [F.col(c) for c in ("n", "n_near", "n_size")] + [F.round(c, 4).alias(c) for c in ("mean_confidence", "top_confidence")] + [F.round("coverage", 3).alias("coverage")]
+    about = F.struct("name", "stratum", "notes", *signals, F.lit(operating_confidence).alias("operating_confidence"))
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates"))
+    rows = proposals.orderBy("pick").select(F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), about.alias("properties"))).alias("f")).collect()
+    with open(path, "w", encoding="utf-8") as file:
+        file.write('{"type": "FeatureCollection", "crs": {"type": "name", "properties": {"name": "' + GRID_NAME + '"}}, "features": [\n' + ",\n".join(r["f"] for r in rows) + "\n]}\n")
+    return len(rows)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 import time
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 
+from gridsight.staging import filesystem, put
+
 #: Flight years with the service's layer names.
 LAYERS = {
     2014: "Ortoilmakuva_2014",
@@ -33,8 +35,18 @@ def layer_of(year: int) -> str:
     return LAYERS[year]
 
 
-def tile_path(root: str, layer: str, zoom: int, col: int, row: int) -> Path:
-    return Path(root) / layer / str(zoom) / str(col) / f"{row}.jpg"
+def tile_path(root: str, layer: str, zoom: int, col: int, row: int) -> str:
+    return f"{root.rstrip('/')}/{layer}/{zoom}/{col}/{row}.jpg"
+
+
+#: The tile service's matrix set and image format.
+MATRIX_SET, IMAGE_FORMAT = "ETRS-GK25", "image/jpeg"
+
+
+def tile_request(layer: str, zoom: int, col: int, row: int) -> dict[str, str]:
+    """Parameters that ask a tile service for one tile of the grid."""
+    asked = {"service": "WMTS", "version": "1.0.0", "request": "GetTile", "layer": layer, "style": "raster", "format": IMAGE_FORMAT}
+    return {k.upper(): v for k, v in (asked | {"tilematrixset": MATRIX_SET, "tilematrix": f"{MATRIX_SET}:{zoom}", "tilerow": str(row), "tilecol": str(col)}).items()}
 
 
 def pause(attempt: int, asked: str | None = None) -> float:
@@ -85,18 +97,15 @@ def fetch_tiles(tiles: DataFrame, root: str, layer: str, fetch: Callable[[dict],
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = filesystem(root)
         for frame in frames:
             out = []
             for zoom, col, row in frame[["zoom", "col", "row"]].itertuples(index=False):
-                path, error = tile_path(root, layer, zoom, col, row), None
-                cached = path.exists()
+                path, error = tile_path(base, layer, zoom, col, row), None
+                cached = fs.get_file_info(path).type != pafs.FileType.NotFound
                 if not cached:
                     try:
-                        body = get_tile(fetch, {"layer": layer, "zoom": int(zoom), "col": int(col), "row": int(row)})
-                        path.parent.mkdir(parents=True, exist_ok=True)
-                        part = path.with_suffix(f".{time.monotonic_ns()}.part")
-                        part.write_bytes(body)
-                        part.rename(path)
+                        put(fs, path, get_tile(fetch, {"layer": layer, "zoom": int(zoom), "col": int(col), "row": int(row)}))
                     except (OSError, LookupError) as fault:
                         error = str(fault)
                 out.append((zoom, col, row, cached, error))

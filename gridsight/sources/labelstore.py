@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gridsight.functions import geometry as G
 from gridsight.sources.geojson import GRID_NAME, features_of
+from gridsight.staging import exists, remove
 
 SCHEMA = "aoi string, position long, det_id long, status string, class string, label string, confidence double, " + ", ".join(f"{c} double" for c in G.CORNERS)
 
@@ -24,15 +25,10 @@ def checked(aoi: str) -> str:
     return aoi
 
 
-def _known(spark: SparkSession, folder: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-
 def read(spark: SparkSession, folder: str, aoi: str) -> DataFrame:
     """Labels of one area: its partition alone is read."""
     checked(aoi)
-    if not _known(spark, folder):
+    if not exists(spark, folder):
         return spark.createDataFrame([], SCHEMA)
     return spark.read.schema(SCHEMA).parquet(folder).filter(F.col("aoi") == aoi)
 
@@ -49,9 +45,8 @@ def save(labels: DataFrame, folder: str, aoi: str, *, crs: str | None) -> int:
     count = rows.count()
     if count:
         rows.repartition("aoi").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("aoi").parquet(folder)
-    elif _known(spark, folder):
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/aoi={aoi}")
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    elif exists(spark, folder):
+        remove(spark, f"{folder}/aoi={aoi}")
     return count
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from gridsight.operators import polygons
 from gridsight.sources import imagery, landuse, regions
 from gridsight.sources.geojson import GRID_NAME
+from gridsight.staging import exists
 
 Send = Callable[[dict[str, str]], tuple[int, bytes, str | None]]
 #: Fixed value: who is to be named with the land use.
@@ -50,11 +51,6 @@ def _store(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path} could not be written")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def _object(body: bytes) -> dict | None:
     try:
         found = json.loads(body)
@@ -66,7 +62,7 @@ def _object(body: bytes) -> dict | None:
 def fetch_layer(spark: SparkSession, layer: str, root: str, send: Send, *, keep: tuple[str, ...] | None = None, refresh: bool = False) -> str:
     """The path of a layer, fetched by one request if it is not there; ``keep`` names the properties worth keeping."""
     path = place(root, layer)
-    if _exists(spark, path) and not refresh:
+    if exists(spark, path) and not refresh:
         return path
     status, body, _ = send(request(layer))
     found = _object(body) if status == 200 else None
@@ -95,7 +91,7 @@ def land_use(spark: SparkSession, municipality: str, root: str, send: Send, *, p
     """The path of a municipality's land use, asked for again only if the query has changed; kept with its query, time and source."""
     query = landuse.query_text(municipality, profile)
     path = f"{root.rstrip('/')}/{municipality.lower()}-{profile}.json"
-    if _exists(spark, path) and not refresh:
+    if exists(spark, path) and not refresh:
         kept = spark.read.schema("query_hash string").json(path, multiLine=True).first()
         if kept and kept["query_hash"] == landuse.query_key(query):
             return path

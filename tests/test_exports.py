@@ -49,8 +49,8 @@ def test_yolo_export(spark, tmp_path):
     windows = spark.createDataFrame([("train", "w0", "here", 0, 0), ("train", "w1", "here", 5000, 0)], "split string, stem string, aoi string, x long, y long")
     boxes = frame(spark, [("car", 1.0, box(50, -50, 5, 2, 0)), ("car", 1.0, box(0, -50, 5, 2, 0))]).withColumnsRenamed({"id": "det_id", "label": "class"}).withColumn("aoi", F.lit("here"))
     held = labels.yolo_boxes(windows.select("aoi", "x", "y"), boxes, size_px=1024, metres_px=0.125, origin_e=0.0, origin_n=0.0)
-    exports.write_yolo(held, windows, str(tmp_path / "y"))
-    text = {r["stem"]: r["value"] for r in spark.read.text(str(tmp_path / "y")).collect()}
+    assert exports.write_yolo(held, windows, str(tmp_path / "y")) == 2
+    text = {p.stem: p.read_text() for p in (tmp_path / "y" / "train").iterdir()}
     assert text["w1"] == "" and text["w0"].startswith("3 0.") and len(text["w0"].split()) == 9
 
 
