@@ -13,7 +13,9 @@ text) would hold a square of pairs, so its fingerprints first meet at hubs: the
 fingerprint itself and its 64 one-bit changes. All that meet at one hub are
 within two bits of each other and are linked as a star. The grid join then skips
 cells whose members are linked already, and elsewhere compares only rows outside
-a cell's largest class with the others.
+a cell's largest class with the others. A cell of over ``DENSE`` rows is cut by the
+other half: that half's embeddings lie within three, so one of its 16-bit quarters
+within one, and the same grid over quarters leaves about one pair in 75.
 
 Defined results: null, empty and blank texts have fingerprint zero and are linked
 like any other; repeated rows share a class; a null doc_id never becomes the
@@ -24,6 +26,8 @@ gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,6 +42,8 @@ SHINGLE = 3
 SEED = 42
 #: Members of a cell from which hubs link it first.
 CROWDED = 64
+#: Rows of a cell from which it is cut: where comparing a row with the others costs more than the 18 rows it becomes.
+DENSE = 1 << 14
 _BLOCK = 1 << 16
 
 
@@ -104,33 +110,50 @@ def _crowd_edges(points: DataFrame, crowded: int) -> DataFrame:
     return met.join(centres, "hub").filter("fp <> centre").select(F.col("fp").alias("a"), F.col("centre").alias("b")).distinct()
 
 
-def _grid_edges(points: DataFrame) -> DataFrame:
+def _quarters(fp: Column, half: Column) -> Column:
+    """``(cell, step)`` of both quarters of a half: own cells and those a step up."""
+    embedding = F.when(half == 0, _embedding(fp, 0)).otherwise(_embedding(fp, 1))
+
+    def entries(quarter: int) -> list[Column]:
+        own = F.shiftright(embedding, 16 * quarter).bitwiseAND(F.lit(0xFFFF))
+        steps = [F.when(F.shiftright(own, 2 * i).bitwiseAND(F.lit(3)) < 2, own + F.lit(1 << (2 * i))) for i in range(8)]
+        return [F.struct((F.lit(quarter << 16) + cell).alias("cell"), F.lit(int(k > 0)).alias("step")) for k, cell in enumerate([own, *steps])]
+
+    return F.filter(F.array(*entries(0), *entries(1)), lambda e: e["cell"].isNotNull())
+
+
+def _grid_edges(points: DataFrame, dense: int) -> DataFrame:
     """Class pairs with a link between fingerprints of ``points (fp, class)`` that share a grid cell."""
     entries = _cells(points, steps=True)
     sizes = entries.groupBy("half", "cell", "class").agg(F.count(F.lit(1)).alias("n"), F.min("step").alias("step"))
-    mixed = sizes.groupBy("half", "cell").agg(F.max(F.struct("n", "class")).alias("top"), F.count(F.lit(1)).alias("classes"), F.min("step").alias("step"))
+    mixed = sizes.groupBy("half", "cell").agg(F.max(F.struct("n", "class")).alias("top"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("classes"), F.min("step").alias("step"))
     # Where all are a step away, nobody is at home, and no pair can meet.
-    mixed = mixed.filter("classes > 1 AND step = 0").select("half", "cell", F.col("top.class").alias("major"))
-    met = scratch.table(entries.join(mixed, ["half", "cell"]), "cells")
+    mixed = mixed.filter("classes > 1 AND step = 0").select("half", "cell", F.col("top.class").alias("major"), (F.col("rows") > dense).alias("dense"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("cell"), F.lit(0).alias("step")))
+    parts = F.when(F.col("dense"), _quarters(F.col("fp"), 1 - F.col("half"))).otherwise(whole)
+    held = entries.join(mixed, ["half", "cell"]).withColumn("_q", F.explode(parts))
+    met = scratch.table(held.select("fp", "class", "half", "cell", "step", "major", F.col("_q.cell").alias("quarter"), F.col("_q.step").alias("low")), "cells")
     one, other = met.filter("class <> major").alias("x"), met.alias("y")
     near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= BITS
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("half", "cell", "quarter")]
     # Both a step up means neither is in this cell; such a pair meets in another.
-    found = one.join(other, (F.col("x.half") == F.col("y.half")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.class") != F.col("y.class")) & (F.col("x.step") + F.col("y.step") < 2) & near)
+    apart = [F.col("x.class") != F.col("y.class"), F.col("x.step") + F.col("y.step") < 2, F.col("x.low") + F.col("y.low") < 2]
+    found = one.join(other, reduce(lambda a, b: a & b, [*same, *apart, near]))
     return found.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
 
-def link(points: DataFrame, *, crowded: int = CROWDED) -> DataFrame:
+def link(points: DataFrame, *, crowded: int = CROWDED, dense: int = DENSE) -> DataFrame:
     """``(fp, class)`` for distinct fingerprints; the class is the least fingerprint reachable."""
     near = graph.components(_crowd_edges(points, crowded))
     first = scratch.table(points.select("fp").join(near, F.col("fp") == F.col("v"), "left").select("fp", F.coalesce("root", "fp").alias("class")), "classes")
-    far = graph.components(_grid_edges(first))
+    far = graph.components(_grid_edges(first, dense))
     return first.join(far, F.col("class") == F.col("v"), "left").select("fp", F.coalesce("root", "class").alias("class"))
 
 
-def classes(prints: DataFrame, *, crowded: int = CROWDED) -> DataFrame:
+def classes(prints: DataFrame, *, crowded: int = CROWDED, dense: int = DENSE) -> DataFrame:
     """``(fp, component_id)`` from ``prints (doc_id, fp)``: the least doc_id among all texts reachable."""
     points = scratch.table(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
-    linked = scratch.table(link(points, crowded=crowded).join(points, "fp"), "linked")
+    linked = scratch.table(link(points, crowded=crowded, dense=dense).join(points, "fp"), "linked")
     names = linked.groupBy("class").agg(F.min("least").alias("component_id"))
     return linked.join(names, "class").select("fp", "component_id")
 

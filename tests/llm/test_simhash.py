@@ -59,10 +59,10 @@ def test_fingerprint_against_brute_force():
         assert simhash.fingerprint_of(None if t is None else t.encode()) % (1 << 64) == brute_print(t)
 
 
-@pytest.mark.parametrize("crowded", [1, 3, 64])
-def test_links_against_brute_force(spark, crowded):
+@pytest.mark.parametrize(("crowded", "dense"), [(1, 0), (3, simhash.DENSE), (64, 5), (10**9, 0)])
+def test_links_against_brute_force(spark, crowded, dense):
     """Random fingerprints, chains of three-bit steps, clouds around a centre, in every half."""
-    draw = random.Random(crowded)
+    draw = random.Random(crowded + dense)
     prints, key = {}, 0
     values = [draw.getrandbits(64) for _ in range(150)] + [0, (1 << 64) - 1]
     for _ in range(6):
@@ -80,7 +80,7 @@ def test_links_against_brute_force(spark, crowded):
         prints[key] = v
         key += 1
     frame = spark.createDataFrame([(k, _signed(v)) for k, v in prints.items()], "doc_id long, fp long")
-    classes = {r["fp"]: r["component_id"] for r in simhash.classes(frame, crowded=crowded).collect()}
+    classes = {r["fp"]: r["component_id"] for r in simhash.classes(frame, crowded=crowded, dense=dense).collect()}
     want = brute_classes(prints)
     assert {k: classes[_signed(v)] for k, v in prints.items()} == want
 
