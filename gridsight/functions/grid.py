@@ -96,6 +96,14 @@ def cell_of(e: Column, n: Column, size: float) -> tuple[Column, Column]:
     return F.floor(e / size).cast("long"), F.floor(n / size).cast("long")
 
 
+def cell_bounds(col: Column, row: Column, size: float) -> tuple[Column, Column, Column, Column]:
+    return col * size, row * size, (col + 1) * size, (row + 1) * size
+
+
+def cell_centre(col: Column, row: Column, size: float) -> tuple[Column, Column]:
+    return (col + 0.5) * size, (row + 0.5) * size
+
+
 def cell_name(col: Column, row: Column) -> Column:
     return F.concat(F.lit("e"), col.cast("string"), F.lit("n"), row.cast("string"))
 

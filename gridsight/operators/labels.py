@@ -112,6 +112,24 @@ def next_candidate(labels: DataFrame) -> DataFrame:
     return waiting.withColumns({"next_id": F.coalesce(F.lead("det_id").over(sweep), F.first("det_id").over(whole)), "previous_id": F.coalesce(F.lag("det_id").over(sweep), F.last("det_id").over(whole))})
 
 
+def listing(areas: DataFrame, labels: DataFrame) -> DataFrame:
+    """Areas (``aoi``, other columns kept) with ``total`` and ``reviewed`` boxes, zero and not ``staged`` where there are none."""
+    counts = reviewed(labels, "aoi")
+    told = areas.join(counts, "aoi", "left").withColumn("staged", F.col("total").isNotNull())
+    return told.fillna(0, ["total", "reviewed"])
+
+
+def role_report(areas: DataFrame) -> DataFrame:
+    """``split, role, n`` of areas with their sums, which have ``*`` for what is summed over."""
+    counts = areas.rollup("split", "role").agg(F.grouping("split").alias("_s"), F.grouping("role").alias("_r"), F.count(F.lit(1)).alias("n"))
+    return counts.select(F.when(F.col("_s") == 1, "*").otherwise(F.col("split")).alias("split"), F.when(F.col("_r") == 1, "*").otherwise(F.col("role")).alias("role"), "n")
+
+
+def unvalidated_roles(areas: DataFrame) -> DataFrame:
+    """Roles that no area of the validation split has."""
+    return areas.select("role").distinct().join(areas.filter(F.col("split") == "validation").select("role"), "role", "left_anti")
+
+
 def folder_tallies(areas: DataFrame) -> DataFrame:
     """``bucket, areas, total, reviewed`` of areas (``split, total, reviewed``, nulls where not staged) by split, with ``all`` for the sum."""
     bucket = F.when(F.col("total").isNull(), "not staged").otherwise(F.col("split"))

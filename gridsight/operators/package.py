@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The columns enrichment adds.
@@ -16,6 +16,14 @@ def layer_name(year: int, zoom: int) -> str:
     return f"helsinki_{year}_z{zoom}"
 
 
+def read_year(spark: SparkSession, folder: str, year: int) -> DataFrame:
+    """One year of a packaged layer: its partition alone is read; a year that is not there is an error."""
+    found = spark.read.parquet(folder).filter(F.col("year") == year)
+    if found.isEmpty():
+        raise ValueError(f"{folder}: no year {year}")
+    return found
+
+
 def check(frame: DataFrame, where: str) -> DataFrame:
     """``frame``, if it has rows and every enriched column."""
     missing = sorted(set(ENRICHED) - set(frame.columns))

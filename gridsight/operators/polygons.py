@@ -88,8 +88,7 @@ def explode_parts(regions: DataFrame, *, shape: str = "shape") -> DataFrame:
 
 
 def _cell_box(size: float) -> tuple[Column, Column, Column, Column]:
-    col, row = F.col("cell_col"), F.col("cell_row")
-    return col * size, row * size, (col + 1) * size, (row + 1) * size
+    return grid.cell_bounds(F.col("cell_col"), F.col("cell_row"), size)
 
 
 def by_cell(parts: DataFrame, size: float) -> DataFrame:

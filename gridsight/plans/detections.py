@@ -8,7 +8,7 @@ from gridsight.functions import crs
 from gridsight.functions import geometry as G
 from gridsight.functions import grid
 from gridsight.operators import enrich as enrichment
-from gridsight.operators import density, evaluate, nms, polygons, spatial
+from gridsight.operators import density, evaluate, labels, nms, polygons, spatial
 from gridsight.plans.registry import CX, CY, LENGTH, SIDE0, SIDE1, WIDTH, WINDOWS_SQL, nearest, query
 
 CENSUS = density.CENSUS_CONFIDENCE
@@ -250,6 +250,17 @@ def unexplained_detections(t):
     return evaluate.unexplained(_ids(t.stored_boxes()), _ids(t("fx_label"))).select(F.col("id").alias("det_id"))
 
 
+@query(f"""WITH truth AS (SELECT * FROM fx_label WHERE status IN ('confirmed', 'added')), {overlap_sql("fx_detection", "truth", "true")},
+best AS (SELECT a_id, arg_min(b_id, (-iou, b_id)) AS t FROM ious WHERE iou > 0.45 GROUP BY a_id), hit AS (SELECT t, arg_min(a_id, (-confidence, a_id)) AS det_id FROM best JOIN fx_detection ON a_id = det_id GROUP BY t),
+steps AS (SELECT CAST(floor(confidence * 1000) AS BIGINT) AS i, count(*) AS n, count(h.det_id) AS hits FROM fx_detection d LEFT JOIN hit h USING (det_id) GROUP BY 1)
+SELECT i, {nearest('sum(hits) OVER w / sum(n) OVER w', 10000)} AS p, {nearest('sum(hits) OVER w / (SELECT count(*) FROM truth)', 10000)} AS r FROM steps WINDOW w AS (ORDER BY i DESC)""", "fx_label")
+def precision_recall(t):
+    """Precision and recall by confidence, against verified labels."""
+    truth = labels.verified(t("fx_label")).withColumnRenamed("det_id", "id")
+    found = evaluate.curve(_ids(t.stored_boxes()), truth)
+    return found.select("i", G.scaled(F.col("p"), 10000).alias("p"), G.scaled(F.col("r"), 10000).alias("r"))
+
+
 def _series(name: str, terms: tuple[float, ...], f: str, g: str, xi: str, eta: str) -> str:
     return " + ".join(f"{a!r} * {f}({2 * j} * {xi}) * {g}({2 * j} * {eta})" for j, a in enumerate(terms, 1))
 

@@ -263,22 +263,19 @@ def _areas(t):
 
 @query(f"SELECT coalesce(split, '*') AS split, coalesce(role, '*') AS role, count(*) AS n FROM ({_ROLES}) GROUP BY ROLLUP (split, role)")
 def role_split_report(t):
-    counts = _areas(t).rollup("split", "role").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.coalesce("split", F.lit("*")).alias("split"), F.coalesce("role", F.lit("*")).alias("role"), "n")
+    return labels.role_report(_areas(t))
 
 
 @query(f"SELECT DISTINCT role FROM ({_ROLES}) WHERE role NOT IN (SELECT role FROM ({_ROLES}) WHERE split = 'validation')")
 def roles_without_validation(t):
-    areas = _areas(t)
-    return areas.select("role").distinct().join(areas.filter(F.col("split") == "validation").select("role"), "role", "left_anti")
+    return labels.unvalidated_roles(_areas(t))
 
 
 @query("SELECT area, coalesce(total, 0) AS total, total IS NOT NULL AS staged FROM (SELECT concat('aoi_', i) AS area FROM range(30) AS r(i)) LEFT JOIN (SELECT aoi, count(*) AS total FROM fx_label GROUP BY aoi) ON aoi = area", "fx_label")
 def area_listing(t):
     """Areas with their counts; those without labels are not staged."""
-    areas = t.spark.range(30).select(F.concat(F.lit("aoi_"), F.col("id").cast("string")).alias("area"))
-    counts = t("fx_label").groupBy(F.col("aoi").alias("area")).agg(F.count(F.lit(1)).alias("total"))
-    return areas.join(counts, "area", "left").select("area", F.coalesce("total", F.lit(0)).alias("total"), F.col("total").isNotNull().alias("staged"))
+    areas = t.spark.range(30).select(F.concat(F.lit("aoi_"), F.col("id").cast("string")).alias("aoi"))
+    return labels.listing(areas, t("fx_label")).select(F.col("aoi").alias("area"), "total", "staged")
 
 
 @query("""WITH areas AS (SELECT concat('aoi_', i) AS aoi, CASE WHEN i % 4 = 0 THEN 'validation' ELSE 'train' END AS split FROM range(30) AS r(i)),
