@@ -82,7 +82,15 @@ class Scorer:
     def __init__(self, network: Network):
         self.network = network
         self.known: dict[str, int] = {}
-        self.gates = network.gates(network.inputs(*network.features([""])))
+        self.gates = self._held = network.gates(network.inputs(*network.features([""])))
+
+    def _grow(self, more: np.ndarray) -> None:
+        """Add rows to ``gates``, which is the filled part of an array that doubles."""
+        size = len(self.gates) + len(more)
+        if size > len(self._held):
+            self._held = np.concatenate([self.gates, np.empty((max(len(more), len(self.gates), 1024), *more.shape[1:]), more.dtype)])
+        self._held[len(self.gates) : size] = more
+        self.gates = self._held[:size]
 
     def _rows(self, words: list[str]) -> np.ndarray:
         new = list(set(words).difference(self.known))
@@ -90,7 +98,7 @@ class Scorer:
             ids, rows = self.network.features([normal(w) for w in new])
             named = ids.astype(bool) | rows.any(1)
             at = np.where(named, np.cumsum(named) + len(self.gates) - 1, 0)
-            self.gates = np.concatenate([self.gates, self.network.gates(self.network.inputs(ids[named], rows[named]))])
+            self._grow(self.network.gates(self.network.inputs(ids[named], rows[named])))
             self.known.update(zip(new, at.tolist(), strict=True))
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
