@@ -1,4 +1,9 @@
-"""The append-only work log and what is left to do."""
+"""The append-only work log and what is left to do.
+
+Defined results: of records with one number any may be the last, so numbers are to be
+unique within a cell; a cell whose last status is null is to be done; repeated
+records change nothing; an empty log leaves every cell to do; other columns are not kept.
+"""
 
 from __future__ import annotations
 

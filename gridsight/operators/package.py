@@ -1,4 +1,9 @@
-"""Packaging enriched layers by year."""
+"""Packaging enriched layers by year.
+
+Defined results: a layer without rows or without a column of the enrichment is refused;
+columns that only some years have are null in the others; nulls and repeated rows are
+kept as they are; a folder that is there is replaced only if that is asked for.
+"""
 
 from __future__ import annotations
 
