@@ -43,7 +43,8 @@ def _pairs(boxes: DataFrame, areas: DataFrame, key: str, reach: float) -> DataFr
     low_e, low_n, high_e, high_n = spatial.area_envelope()
     close = (box[0] <= high_e + reach) & (low_e - reach <= box[2]) & (box[1] <= high_n + reach) & (low_n - reach <= box[3])
     met = spatial.by_bucket(own, box, BUCKET_M).join(near, ["bx", "by"]).filter(close).select(key, "cx", "cy", *G.CORNERS, "area")
-    return met.join(areas.drop(*spatial.ENVELOPE), "area")
+    # Dealt by key before the outlines are worked on: the grouping needs that anyway, and few input files then do not mean few tasks.
+    return met.repartition(F.col(key)).join(areas.drop(*spatial.ENVELOPE), "area")
 
 
 def _attributes(boxes: DataFrame, key: str, streets: DataFrame, parking: DataFrame, parts: DataFrame, districts: DataFrame | None, within: float) -> DataFrame:
