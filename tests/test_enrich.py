@@ -77,6 +77,10 @@ def test_work_does_not_grow_with_areas_over_each_other(spark):
     assert enrich._candidates(areas, 0.0).filter("bx = 0 AND by = 0").count() == 2
     got = enrich.enrich(boxes_of(spark, [(5.0, 5.0, 4.0, 30.0)] * 3), parts, streets, parking, parts).collect()
     assert [(r.kadun_nimi, r.context, r.district) for r in got] == [("s0", "parking", None)] * 3
+    short = enrich.attach_context(boxes_of(spark, [(5.0, 5.0, 4.0, 30.0)]), parking.limit(0), streets, parts)
+    assert [r.context for r in short.collect()] == ["street"]
+    plan = short._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [det_id" not in plan
 
 
 def test_empty_layers_and_boxes(spark):
