@@ -63,7 +63,7 @@ def words_of(text: Column) -> Column:
 
 
 def _count_of(text: Column, pattern: str) -> Column:
-    return (F.size(F.split(text, pattern)) - 1).cast("long")
+    return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
 def _each(count: Column, body: Callable[[Column], Column]) -> Column:
@@ -78,31 +78,39 @@ def _covered(words: Column) -> Column:
     """
     windows = F.size(words) - (SPAN - 1)
 
-    def exact() -> Column:
-        texts = F.sort_array(_each(windows, lambda i: F.struct(F.concat_ws(" ", *[F.get(words, i + j) for j in range(SPAN)]).alias("w"), i.alias("p"))))
+    def window(i: Column) -> Column:
+        return F.concat_ws(" ", *[F.get(words, i + j) for j in range(SPAN)])
+
+    def covered(at: Column) -> Column:
+        return F.aggregate(
+            F.transform(at, lambda p, k: F.least(F.lit(SPAN), F.coalesce(F.get(at, k + 1) - p, F.lit(SPAN))).cast("long")),
+            F.lit(0).cast("long"),
+            lambda a, x: a + x,
+        )
 
-        def starts(ws: Column) -> Column:
-            def same(k: Column, other: Column) -> Column:
-                return F.coalesce(F.get(ws, k)["w"] == F.get(ws, other)["w"], F.lit(False))
+    def starts(ws: Column, same: Callable[[Column, Column], Column]) -> Column:
+        """Places of the members of ``ws`` (sorted, with their places ``p``) that are the same as a neighbour."""
+        either = lambda k: F.coalesce(same(k, k - 1), F.lit(False)) | F.coalesce(same(k, k + 1), F.lit(False))
+        return F.sort_array(F.transform(F.filter(F.sequence(F.lit(0), F.size(ws) - 1), either), lambda k: F.get(ws, k)["p"]))
 
-            hits = F.filter(F.sequence(F.lit(0), F.size(ws) - 1), lambda k: same(k, k - 1) | same(k, k + 1))
-            return F.sort_array(F.transform(hits, lambda k: F.get(ws, k)["p"]))
+    def exact() -> Column:
+        texts = F.sort_array(_each(windows, lambda i: F.struct(window(i).alias("w"), i.alias("p"))))
+        return let(let(texts, lambda ws: starts(ws, lambda k, other: F.get(ws, k)["w"] == F.get(ws, other)["w"])), covered)
 
-        def total(at: Column) -> Column:
-            return F.aggregate(
-                F.transform(at, lambda p, k: F.least(F.lit(SPAN), F.coalesce(F.get(at, k + 1) - p, F.lit(SPAN))).cast("long")),
-                F.lit(0).cast("long"),
-                lambda a, x: a + x,
-            )
+    def repeated(h: Column) -> Column:
+        """Only windows of equal hashes are told apart by their texts, and those one by one: a long text's windows all at once would fill the heap."""
 
-        return let(let(texts, starts), total)
+        def judged(hs: Column) -> Column:
+            same = lambda k, other: F.get(hs, k)["h"] == F.get(hs, other)["h"]
+            mixed = F.exists(F.sequence(F.lit(0), F.size(hs) - 1), lambda k: F.coalesce(same(k, k + 1) & (window(F.get(hs, k)["p"]) != window(F.get(hs, k + 1)["p"])), F.lit(False)))
+            return F.when(mixed, exact()).otherwise(let(starts(hs, same), covered))
 
-    def doubled(width: int) -> Callable[[Column], Column]:
-        return lambda h: _each(F.size(h) - width, lambda i: F.xxhash64(F.get(h, i), F.get(h, i + width)))
+        return let(F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p")))), judged)
 
-    hashes = let(let(let(F.transform(words, lambda w: F.xxhash64(w)), doubled(1)), doubled(2)), doubled(4))
-    # Windows with pairwise different hashes are all different, so sorting texts is left to the others.
-    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(exact()))
+    # In one step: hashes of halves and quarters of a window would stay in memory as well.
+    hashes = _each(windows, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(SPAN)]))
+    # Windows with pairwise different hashes are all different, so sorting is left to the others.
+    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(repeated(h)))
     return F.when(windows < 1, F.lit(0).cast("long")).otherwise(some)
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -32,6 +35,38 @@ def test_statistics(spark):
         assert tuple(r["s"]) == brute(r["text"])
 
 
+def test_windows_of_equal_hashes_are_told_apart(spark, monkeypatch):
+    """Where hashes say nothing, the texts of the windows decide."""
+    texts = ["a b c d e f g h i j " * 2 + "x y " + "a b c d e f g h i j", " ".join(f"w{k}" for k in range(30)), "p q " * 20]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    monkeypatch.setattr(quality_rules.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    for r in frame.select("text", quality_rules.statistics(F.col("text")).alias("s")).collect():
+        assert tuple(r["s"]) == brute(r["text"])
+
+
+LONG_TEXT = """
+import random, sys
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from gridsight.llm import quality_rules
+draw = random.Random(1)
+words = ["".join(draw.choices("abcdefgh", k=draw.randint(1, 9))) for _ in range(900_000)]
+text = " ".join(words + words[: 450_000])
+open(sys.argv[1] + "/long.txt", "w").write(text)
+spark = SparkSession.builder.master("local[1]").config("spark.driver.memory", sys.argv[2]).config("spark.ui.enabled", "false").getOrCreate()
+stats = spark.read.text(sys.argv[1] + "/long.txt").select(quality_rules.statistics(F.col("value")).alias("s"))
+print("COUNTS", *stats.collect()[0]["s"])
+"""
+
+
+def test_a_long_text_fits_a_small_heap(tmp_path):
+    """A text of 1,350,000 words, a third of them said twice, within the least heap Spark starts with."""
+    run = subprocess.run([sys.executable, "-c", LONG_TEXT, str(tmp_path), "460m"], cwd=Path(__file__).parents[2], capture_output=True, text=True, timeout=300)
+    found = re.search("COUNTS (.*)", run.stdout)
+    assert found, run.stderr[-2000:]
+    assert tuple(map(int, found[1].split())) == brute((tmp_path / "long.txt").read_text())
+
+
 def test_judge_keeps_every_row_and_column(spark):
     docs = hard(spark)
     judged = quality_rules.judge(docs).select("row.doc_id", "base_failed", "kept", "s.n_words").collect()
