@@ -67,13 +67,27 @@ class Memo:
             new = set(parts[1:]).difference(self.known)
         return parts, new
 
+    def _learn(self, new: set[str], ends: set[str]) -> dict:
+        """Encode pieces not known; those that are never looked up again, too long or in ``ends``, are returned."""
+        known, extra = self.known, {}
+        for batch, values in self._batches(new):
+            if not ends and max(map(len, batch)) <= MEMO_LENGTH:
+                known.update(zip(batch, values, strict=True))
+            else:
+                for part, value in zip(batch, values, strict=True):
+                    (extra if len(part) > MEMO_LENGTH or part in ends else known)[part] = value
+        return extra
+
+    def _trim(self) -> None:
+        if len(self.known) > MEMO_ENTRIES:
+            self.known = dict(islice(self.known.items(), MEMO_KEPT))
+
     def all_of(self, texts: list[str]) -> tuple[list[list[str]], Callable[[str], object]]:
         """The pieces of each text, and a function from a piece that follows a blank to its encoding.
 
         Pieces met for the first time are encoded together, whichever texts they are from.
         """
-        if len(self.known) > MEMO_ENTRIES:
-            self.known = dict(islice(self.known.items(), MEMO_KEPT))
+        self._trim()
         cut, new, ends = [], set(), set()
         for text in texts:
             parts, unknown = self._cut(text)
@@ -82,17 +96,36 @@ class Memo:
             # Only the first and the last piece of a safe cut can begin or end with a blank.
             if len(parts) > 1 and parts[-1] in unknown and _open(parts[-1]):
                 ends.add(parts[-1])
-        known, extra = self.known, {}
-        for batch, values in self._batches(new):
-            if not ends and max(map(len, batch)) <= MEMO_LENGTH:
-                known.update(zip(batch, values, strict=True))
-            else:
-                for part, value in zip(batch, values, strict=True):
-                    (extra if len(part) > MEMO_LENGTH or part in ends else known)[part] = value
+        known, extra = self.known, self._learn(new, ends)
         if not extra:
             return cut, known.__getitem__
         return cut, lambda part: known[part] if part in known else extra[part]
 
+    def encoded(self, texts: list[str]) -> Iterator[tuple[str, list]]:
+        """The first piece of each text, and the encodings of the others, each as a piece that follows a blank.
+
+        As ``all_of``, but a piece that is known is looked up once. No encoding is empty.
+        """
+        self._trim()
+        look, held, new, ends = self.known.get, [], set(), set()
+        for text in texts:
+            first, *rest = text.split(" ")
+            values = list(map(look, rest))
+            unknown = set() if all(values) else {p for p, v in zip(rest, values) if v is None}
+            if _open(first) or any(map(_open, unknown)):
+                first, *rest = CUT.split(text)
+                values = list(map(look, rest))
+                unknown = {p for p, v in zip(rest, values) if v is None}
+                if rest and rest[-1] in unknown and _open(rest[-1]):
+                    ends.add(rest[-1])
+            new |= unknown
+            held.append((first, values, [(k, p) for k, (p, v) in enumerate(zip(rest, values)) if v is None] if unknown else []))
+        extra = self._learn(new, ends)
+        for first, values, gaps in held:
+            for k, part in gaps:
+                values[k] = look(part) or extra[part]
+            yield first, values
+
     def of(self, text: str) -> tuple[list[str], list]:
         """The pieces of a text, and the encodings of all but the first, each as a piece that follows a blank."""
         (parts,), value = self.all_of([text])

@@ -16,6 +16,7 @@ columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,8 +32,10 @@ from .chunks import Memo
 VOCABULARY = "byte_bpe_50k.json"
 LONGEST = 1024
 END = 0
-#: A special token that pieces are set apart with; the tokenizer cuts at it before anything else.
-FENCE = "<|endoftext|>"
+#: Bytes of pieces in a call of the tokenizer, and characters of texts whose pieces are looked up together.
+BATCH_BYTES, TOGETHER = 1 << 14, 1 << 16
+#: A blank beside other white space, or at the end: the pattern may take these together.
+UNSAFE = re.compile(r"\s | \s| \Z")
 #: Bits of a sequence id for the running number in a task, and for the task.
 RUN_BITS, TASK_BITS = 34, 24
 
@@ -43,29 +46,44 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.fence = self.tokenizer.token_to_id(FENCE)
-        self.memo = Memo(self._pieces)
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Bytes of every id: a token of a byte-level vocabulary has a character for each.
+        self.sizes = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+        for token, id in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.sizes[id] = len(token)
+        self.memo = Memo(self._pieces, batch_bytes=BATCH_BYTES)
         self._first = lru_cache(50_000)(lambda part: packed(self._ids(part)))
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _pieces(self, parts: list[str]) -> list[bytes]:
-        """Ids of pieces that follow a blank. A special token between them keeps them apart in one call."""
-        text = (FENCE + " ").join(parts)
-        if self.fence is None or text.count(FENCE) >= len(parts):
-            return [packed(self._ids(" " + p)) for p in parts]
-        ids = np.array(self._ids(" " + text), "<u4")
-        ends = [*np.flatnonzero(ids == self.fence).tolist(), len(ids)]
-        raw, out, start = ids.tobytes(), [], 0
-        for end in ends:
-            out.append(raw[4 * start : 4 * end])
-            start = end + 1
-        return out
+        """Ids of pieces that follow a blank, encoded as one text and told apart by their bytes.
+
+        Where a token lies across two pieces, or a piece is not safely cut, each is encoded alone.
+        """
+        text = " " + " ".join(parts)
+        if not UNSAFE.search(text) and not any(x in text for x in self.added):
+            ids = np.array(self._ids(text), "<u4")
+            ends, wanted = self.sizes[ids].cumsum(), np.cumsum([1 + (len(p) if p.isascii() else len(p.encode())) for p in parts])
+            at = ends.searchsorted(wanted)
+            if ends[-1] == wanted[-1] and (ends[at] == wanted).all():
+                raw, cuts = ids.tobytes(), [0, *(4 * at + 4).tolist()]
+                return [raw[low:high] for low, high in zip(cuts, cuts[1:])]
+        return [packed(self._ids(" " + p)) for p in parts]
+
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of whole texts; pieces not met before are encoded together, whichever texts they are from."""
+        start = size = 0
+        for end, text in enumerate(texts, 1):
+            size += len(text)
+            if size >= TOGETHER or end == len(texts):
+                for first, others in self.memo.encoded(texts[start:end]):
+                    yield b"".join([self._first(first), *others])
+                start, size = end, 0
 
     def encode(self, text: str) -> bytes:
-        parts, ids = self.memo.of(text)
-        return b"".join([self._first(parts[0]), *ids])
+        return next(self.encode_all([text]))
 
 
 @lru_cache(2)
@@ -95,8 +113,8 @@ def pack(docs: DataFrame, *, text: str = "text", id: str = "doc_id", path: str |
         for batch in batches:
             rows: list[tuple] = []
             owners: list[int] = []
-            for k, x in enumerate(batch.column(1)):
-                ids = at.encode(x.as_py() or "") + packed([END])
+            for k, ids in enumerate(at.encode_all([x or "" for x in batch.column(1).to_pylist()])):
+                ids += packed([END])
                 total, start = len(ids) // 4, 0
                 for length in lengths(total, longest):
                     bucket, piece = length.bit_length() - 1, ids[4 * start : 4 * (start + length)]

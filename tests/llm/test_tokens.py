@@ -140,6 +140,29 @@ def test_lengths():
         packing.pack(None, longest=1000)
 
 
+def test_packing_encodes_pieces_of_many_texts_together(monkeypatch):
+    """New pieces of many texts go to the tokenizer in few calls, and each gets its own ids."""
+    at, calls = packing.Encoder(P.path(packing.VOCABULARY)), []
+    ids = at._ids
+    monkeypatch.setattr(at, "_ids", lambda text: calls.append(text) or ids(text))
+    texts = [f"one word{k} it's{k} é{k},\nx <s>" for k in range(200)]
+    assert [bpe_tree.unpacked(x) for x in at.encode_all(texts)] == [ids(x) for x in texts]
+    assert len(calls) < 10
+    assert list(at.encode_all([])) == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(ODD, max_size=12))
+def test_packing_of_texts_together(texts):
+    assert [bpe_tree.unpacked(x) for x in packing.Encoder.encode_all(ENCODER, texts)] == [ENCODER._ids(x) for x in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(ODD, min_size=1, max_size=12))
+def test_packing_tells_any_pieces_apart(parts):
+    assert [bpe_tree.unpacked(x) for x in ENCODER._pieces(parts)] == [ENCODER._ids(" " + x) for x in parts]
+
+
 def test_packing_query(spark):
     rows = [r.asDict() for r in packing.pack(hard(spark), with_ids=True).collect()]
     assert len({r["sequence_id"] for r in rows}) == len(rows)
